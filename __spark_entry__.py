@@ -309,19 +309,19 @@ _DRIVING_FACT_SQL = t.with_tables(
 )
 
 
-def _transit_fact(spark: SparkSession, folder: str, percentiles: str = "sketch") -> DataFrame:
+def _transit_fact(spark: SparkSession, folder: str, percentiles: str = "exact") -> DataFrame:
     return reliability.reliability_fact(
         t.transit(spark, folder), reliability.TRANSIT, percentiles
     )
 
 
-def _driving_fact(spark: SparkSession, folder: str, percentiles: str = "sketch") -> DataFrame:
+def _driving_fact(spark: SparkSession, folder: str, percentiles: str = "exact") -> DataFrame:
     return reliability.reliability_fact(t.driven(spark, folder), reliability.DRIVING, percentiles)
 
 
 @query(_TRANSIT_FACT_SQL)
 def transit_reliability(spark: SparkSession, folder: str) -> DataFrame:
-    return _transit_fact(spark, folder)
+    return _transit_fact(spark, folder, "sketch")
 
 
 @query(_TRANSIT_FACT_SQL)
@@ -331,7 +331,7 @@ def transit_reliability_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_DRIVING_FACT_SQL)
 def driving_reliability(spark: SparkSession, folder: str) -> DataFrame:
-    return _driving_fact(spark, folder)
+    return _driving_fact(spark, folder, "sketch")
 
 
 @query(_DRIVING_FACT_SQL)

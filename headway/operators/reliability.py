@@ -70,14 +70,15 @@ DRIVING = FactSpec(
 )
 
 
-def trip_statistics(df: DataFrame, spec: FactSpec, percentiles: str = "sketch") -> DataFrame:
+def trip_statistics(df: DataFrame, spec: FactSpec, percentiles: str = "exact") -> DataFrame:
     """Count, discrete percentiles, mean, deviation and on-time count per group.
 
-    ``sketch`` is one pass with a bounded sketch per group, combined on the map
-    side; it is exact up to about 10,000 rows in a group and off by at most
-    1/10,000 of the ranks beyond. ``exact`` first counts equal values, so a
-    large group shrinks to its distinct whole seconds and is spread over tasks
-    by value, and then ranks those counts.
+    ``exact`` first counts equal values: a large group is spread over tasks by
+    value and shrinks to its distinct whole seconds, whose counts are then
+    ranked. Results do not depend on how the rows are split. ``sketch`` is one
+    pass with a bounded sketch per group, combined on the map side, for
+    measures with too many distinct values to count. It is exact up to about
+    10,000 rows in a group and off by at most 1/10,000 of the ranks beyond.
     """
     rows = df.filter(F.col(spec.measure).isNotNull())
     if percentiles == "sketch":
@@ -186,7 +187,7 @@ def _extra_minutes(spec: FactSpec) -> dict[str, Column]:
 def reliability_fact(
     performance: DataFrame,
     spec: FactSpec,
-    percentiles: str = "sketch",
+    percentiles: str = "exact",
     min_trips: int | None = None,
 ) -> DataFrame:
     """Scored groups that have at least ``min_trips`` trips."""

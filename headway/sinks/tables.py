@@ -18,7 +18,7 @@ def clustered(
     many rows spread over several ranges.
     """
     lead = list(dict.fromkeys([*partition_by, *cluster_by]))
-    spread = F.xxhash64(*[name for name, kind in df.dtypes if "map<" not in kind])
+    spread = F.xxhash64(*_hashable(df))
     return df.repartitionByRange(*lead, spread).sortWithinPartitions(*lead)
 
 
@@ -30,9 +30,16 @@ def write_table(
     mode: str = "overwrite",
     only_touched_partitions: bool = False,
 ) -> str:
-    """Store a dataset as Parquet, optionally replacing only the partitions it has."""
+    """Store a dataset as Parquet, optionally replacing only the partitions it has.
+
+    Rows are either clustered or brought together by partition, so that tasks
+    do not each write a file for every partition. AQE sizes the latter: it
+    splits a partition value that holds many rows and merges small ones.
+    """
     if cluster_by:
         df = clustered(df, cluster_by, partition_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).partitionBy(*partition_by)
     if only_touched_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -54,12 +61,18 @@ def append_stream(
     path: str,
     checkpoint: str,
     partition_by: Sequence[str] = (),
-    name: str | None = None,
+    slots: int | None = None,
 ) -> StreamingQuery:
-    """Append everything that is available now to a stored table, then stop."""
+    """Append everything that is available now to a stored table, then stop.
+
+    A daily increment touches one or two partitions and needs no shuffle. For a
+    backlog of many days, ``slots`` shuffles the rows so that each partition is
+    written by that many tasks instead of by all of them.
+    """
+    if slots is not None and partition_by:
+        spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(slots))
+        df = df.repartition(*partition_by, spread)
     writer = df.writeStream.format("parquet").outputMode("append")
-    if name is not None:
-        writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return (
@@ -67,3 +80,7 @@ def append_stream(
         .trigger(availableNow=True)
         .start(path)
     )
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [name for name, kind in df.dtypes if "map<" not in kind]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -34,10 +34,11 @@ def append_dataset(
     table: str,
     rules: Sequence[Expectation],
     partition_by: Sequence[str] = (),
+    slots: int | None = None,
 ) -> StreamingQuery:
     """Append what is new to a table, counting rule violations on the way."""
     checked = counted(df, rules, f"{table}_rules")
-    return append_stream(checked, store.table(table), store.progress(table), partition_by)
+    return append_stream(checked, store.table(table), store.progress(table), partition_by, slots)
 
 
 def append_raw(
@@ -46,9 +47,10 @@ def append_raw(
     landing: str,
     store: Store,
     bytes_per_batch: int = BYTES_PER_BATCH,
+    slots: int | None = None,
 ) -> StreamingQuery:
     rows = raw_stream(spark, feed, landing, bytes_per_batch)
-    return append_dataset(rows, store, feed.table, feed.expectations, feed.partition_by)
+    return append_dataset(rows, store, feed.table, feed.expectations, feed.partition_by, slots)
 
 
 def append_transit(
@@ -59,6 +61,7 @@ def append_transit(
     daily: DataFrame,
     hot: DataFrame | None = None,
     time_zone: str | None = None,
+    slots: int | None = None,
 ) -> StreamingQuery:
     """New predictions against the schedules and weather known now.
 
@@ -68,7 +71,7 @@ def append_transit(
     arriving = increments(spark, predictions)
     rows = staging.transit_performance(arriving, schedules, daily, hot, time_zone)
     return append_dataset(
-        rows, store, staging.TRANSIT_TABLE, staging.TRANSIT_RULES, staging.TRANSIT_PARTITION
+        rows, store, staging.TRANSIT_TABLE, staging.TRANSIT_RULES, staging.TRANSIT_PARTITION, slots
     )
 
 
@@ -78,10 +81,11 @@ def append_driving(
     driving: str,
     daily: DataFrame,
     time_zone: str | None = None,
+    slots: int | None = None,
 ) -> StreamingQuery:
     rows = staging.driving_performance(increments(spark, driving), daily, time_zone)
     return append_dataset(
-        rows, store, staging.DRIVING_TABLE, staging.DRIVING_RULES, staging.DRIVING_PARTITION
+        rows, store, staging.DRIVING_TABLE, staging.DRIVING_RULES, staging.DRIVING_PARTITION, slots
     )
 
 

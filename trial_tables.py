@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from headway.feeds import Feed
 from headway.operators.observations import pivot_observations, with_condition
 from headway.plans import staging
+from headway.session import durable
 
 START = 1704067200  # 2024-01-01 00:00:00 UTC
 SPAN = 40 * 86400  # the schedule runs longer than the weather is known
@@ -19,7 +20,13 @@ STATION = "station-1"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table, spread over the cores when it has fewer parts than cores.
+
+    A table of many files already has more parts and is left as it is.
+    """
+    given = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return given if given.rdd.getNumPartitions() >= cores else given.repartition(cores)
 
 
 def plain(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -148,14 +155,19 @@ def weather_daily(spark: SparkSession, folder: str) -> DataFrame:
     return staging.weather_daily(weather(spark, folder))
 
 
+def known_weather(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily weather as a stored result, which joins may then size up cheaply."""
+    return durable(weather_daily(spark, folder))
+
+
 def transit(spark: SparkSession, folder: str, **options: object) -> DataFrame:
     return staging.transit_performance(
-        predictions(spark, folder), schedules(spark, folder), weather_daily(spark, folder), **options
+        predictions(spark, folder), schedules(spark, folder), known_weather(spark, folder), **options
     )
 
 
 def driven(spark: SparkSession, folder: str) -> DataFrame:
-    return staging.driving_performance(driving(spark, folder), weather_daily(spark, folder))
+    return staging.driving_performance(driving(spark, folder), known_weather(spark, folder))
 
 
 def as_landed(df: DataFrame, feed: Feed) -> DataFrame:
