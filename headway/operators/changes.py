@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from headway.operators.ranking import same
 
+COPIES_PER_TASK = 100_000
+
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that differ, tagged insert, delete, update_preimage or update_postimage.
@@ -38,9 +40,26 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         .when(gone, "delete")
         .otherwise("insert")
     )
-    copies = F.sequence(F.lit(1), F.abs("n._net"))
-    return both.select(
+    changed = both.select(
         *[F.col(f"n.{name}") for name in columns],
         kind.alias("_change_type"),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+        F.abs("n._net").alias("_copies"),
+    )
+    return _repeated(changed)
+
+
+def _repeated(changed: DataFrame) -> DataFrame:
+    """Each row as often as ``_copies`` says; many copies come from many tasks."""
+    few = changed.filter(F.col("_copies") <= COPIES_PER_TASK)
+    left = F.col("_copies") - F.col("_chunk") * COPIES_PER_TASK
+    chunks = F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES_PER_TASK))
+    many = (
+        changed.filter(F.col("_copies") > COPIES_PER_TASK)
+        .withColumn("_chunk", F.explode(chunks))
+        .repartition("_chunk")
+        .withColumn("_copies", F.least(left, F.lit(COPIES_PER_TASK)))
+        .drop("_chunk")
+    )
+    numbered = few.unionByName(many)
+    one_each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return numbered.withColumn("_copy", one_each).drop("_copy", "_copies")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.keys import row_hash
 from headway.functions.weather import MISSING_CONDITION
 from headway.session import durable
 
@@ -21,56 +22,73 @@ WEATHER_FIELDS = (
 )
 # A day of weather is one short row, so this many stay around 20 MB.
 MAX_BROADCAST_DAYS = 100_000
-SALTS = 32
+ROWS_PER_TASK = 2_000_000
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: float = 0.001, floor: int = 100_000
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    share: float = 1e-5,
 ) -> DataFrame | None:
-    """Keys with more than ``share`` of the rows and more than ``floor`` rows.
+    """Keys too large for one task, with the tasks each side of them should get.
 
-    None when there are none. At most ``1 / share`` keys can qualify, which
-    bounds what a join may broadcast. The set is checkpointed so that both
-    sides of a join, and every micro-batch, see the same keys.
+    A key is hot on a side when it has more than ``rows_per_task`` rows and
+    more than ``share`` of the rows there, so a side has at most ``1 / share``
+    hot keys, which bounds what a join may broadcast. None when no key is hot.
+    The result is checkpointed so that both sides of a join, and every
+    micro-batch, see the same keys.
     """
-    present = df.select(*keys).dropna()
-    limit = max(floor, present.count() * share)
-    counts = present.groupBy(*keys).count()
-    hot = durable(counts.filter(F.col("count") > limit).select(*keys))
-    return None if hot.isEmpty() else hot
+    found = []
+    for df, slots, other in (
+        (left, "_left_slots", "_right_slots"),
+        (right, "_right_slots", "_left_slots"),
+    ):
+        present = df.select(*keys).dropna()
+        limit = max(rows_per_task, present.count() * share)
+        counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = counts.filter(F.col("_rows") > limit)
+        tasks = F.ceil(F.col("_rows") / rows_per_task).cast("int")
+        found.append(hot.select(*keys, tasks.alias(slots), F.lit(1).alias(other)))
+    merged = found[0].unionByName(found[1]).groupBy(*keys)
+    slots = merged.agg(
+        F.max("_left_slots").alias("_left_slots"), F.max("_right_slots").alias("_right_slots")
+    )
+    marked = durable(slots)
+    return None if marked.isEmpty() else marked
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame | None,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None
 ) -> DataFrame:
-    """Inner equi-join; left rows of a hot key go to ``salts`` tasks.
+    """Inner equi-join whose hot keys, a result of ``hot_keys``, go to many tasks.
 
-    Only the right rows of hot keys are repeated, once per salt, so every pair
-    still meets exactly once. Batch plans also have AQE's skew join; a stream
-    has not, and relies on this.
+    A row of a hot side takes one slot, and the rows it can meet are repeated
+    for every slot, so each pair still meets exactly once. Rows of other keys
+    are neither salted nor repeated. Batch plans also have AQE's skew join; a
+    stream has not, and relies on this.
     """
     keys = list(keys)
     if hot is None:
         return left.join(right, keys, "inner")
-    marks = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
-    slot = F.pmod(F.xxhash64(*_hashable(left)), F.lit(salts)).cast("int")
-    one = F.array(F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted = (
-        left.join(marks, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), slot).otherwise(0))
-        .drop("_hot")
-    )
-    repeated = (
-        right.join(marks, keys, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(one)))
-        .drop("_hot")
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        slots, repeats = (F.coalesce(name, F.lit(1)) for name in (own, other))
+        marked = df.join(F.broadcast(hot), keys, "left")
+        return marked.withColumns(
+            {
+                f"{own}_at": F.pmod(row_hash(df), slots).cast("int"),
+                f"{other}_at": F.explode(F.sequence(F.lit(0), repeats - 1)),
+            }
+        ).drop(own, other)
+
+    met = placed(left, "_left_slots", "_right_slots").join(
+        placed(right, "_right_slots", "_left_slots"),
+        [*keys, "_left_slots_at", "_right_slots_at"],
+        "inner",
     )
-    return salted.join(repeated, [*keys, "_salt"], "inner").drop("_salt")
+    return met.drop("_left_slots_at", "_right_slots_at")
 
 
 def with_daily_weather(
@@ -83,17 +101,21 @@ def with_daily_weather(
     """Left join to daily weather; a day without weather counts as clear.
 
     The weather side is broadcast only after its row count is checked. Beyond
-    the limit its rows are repeated per salt instead, because a single day can
-    hold a large part of ``df``.
+    the limit a batch is left to AQE, which splits a day that holds a large
+    part of ``df``. A stream has no AQE: there the rows of a day are spread
+    over salts, for which the weather rows are repeated.
     """
     daily = weather.select(F.col("observation_date").alias("_day"), "weather_condition", *fields)
     keyed = df.withColumn("_day", day)
     known = daily.filter(F.col("_day").isNotNull())
     if known.select("_day").limit(max_broadcast + 1).count() <= max_broadcast:
         joined = keyed.join(F.broadcast(known), "_day", "left")
+    elif not df.isStreaming:
+        joined = keyed.join(known, "_day", "left")
     else:
-        slot = F.pmod(F.xxhash64(*_hashable(keyed)), F.lit(SALTS)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slot = F.pmod(row_hash(keyed), F.lit(salts)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         joined = (
             keyed.withColumn("_salt", slot)
             .join(known.withColumn("_salt", every), ["_day", "_salt"], "left")
@@ -102,7 +124,3 @@ def with_daily_weather(
     return joined.drop("_day").withColumn(
         "weather_condition", F.coalesce("weather_condition", F.lit(MISSING_CONDITION))
     )
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [name for name, kind in df.dtypes if "map<" not in kind]

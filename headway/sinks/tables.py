@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from headway.functions.keys import row_hash
+
 
 def clustered(
     df: DataFrame, cluster_by: Sequence[str], partition_by: Sequence[str] = ()
@@ -18,8 +20,7 @@ def clustered(
     many rows spread over several ranges.
     """
     lead = list(dict.fromkeys([*partition_by, *cluster_by]))
-    spread = F.xxhash64(*_hashable(df))
-    return df.repartitionByRange(*lead, spread).sortWithinPartitions(*lead)
+    return df.repartitionByRange(*lead, row_hash(df)).sortWithinPartitions(*lead)
 
 
 def write_table(
@@ -70,8 +71,7 @@ def append_stream(
     written by that many tasks instead of by all of them.
     """
     if slots is not None and partition_by:
-        spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(slots))
-        df = df.repartition(*partition_by, spread)
+        df = df.repartition(*partition_by, F.pmod(row_hash(df), F.lit(slots)))
     writer = df.writeStream.format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -80,7 +80,3 @@ def append_stream(
         .trigger(availableNow=True)
         .start(path)
     )
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [name for name, kind in df.dtypes if "map<" not in kind]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+from headway.operators import changes
 from headway.operators.changes import change_feed
 
 SCHEMA = "k int, v string"
@@ -35,5 +36,14 @@ def test_repeated_rows_are_counted(spark):
     assert _feed(spark, old, new) == Counter({(1, "a", "delete"): 3, (2, "b", "insert"): 2})
 
 
+def test_many_copies_are_emitted_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(changes, "COPIES_PER_TASK", 4)
+    old = [(1, "a")] * 3
+    new = [(1, "a")] * 14 + [(2, "b")] * 8 + [(3, "c")] * 4
+    assert _feed(spark, old, new) == Counter(
+        {(1, "a", "insert"): 11, (2, "b", "insert"): 8, (3, "c", "insert"): 4}
+    )
+
+
 def test_no_change(spark):
     assert not _feed(spark, [(1, "a")], [(1, "a")])

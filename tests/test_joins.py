@@ -8,31 +8,52 @@ from pyspark.sql import functions as F
 from headway.operators import joins
 
 
-def test_spread_join_equals_plain_join(spark):
-    """A third of the rows share one key; nothing is lost or repeated."""
+def _sides(spark, hot_right):
+    """A third of the left rows share one key, and maybe of the right rows too."""
     left = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None)
         .otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
         F.col("id").alias("a"),
     )
     right = spark.range(60).select(
-        F.when(F.col("id") < 3, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        F.when(F.col("id") < (20 if hot_right else 3), "hot")
+        .when(F.col("id") % 5 == 0, "k1")
+        .otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
         F.col("id").alias("b"),
     )
-    hot = joins.hot_keys(left, ["k"], share=0.1, floor=10)
-    assert [r.k for r in hot.collect()] == ["hot"]
-    spread = joins.spread_join(left, right, ["k"], hot, salts=5)
+    return left, right
+
+
+@pytest.mark.parametrize("hot_right", [False, True])
+def test_spread_join_equals_plain_join(spark, hot_right):
+    left, right = _sides(spark, hot_right)
+    hot = joins.hot_keys(left, right, ["k"], rows_per_task=7, share=0.1)
+    found = {r.k: (r._left_slots, r._right_slots) for r in hot.collect()}
+    assert found == {"hot": (43, 3 if hot_right else 1), "k1": (1, 2)}
+    spread = joins.spread_join(left, right, ["k"], hot)
     plain = left.join(right, "k")
-    assert sorted(spread.select("k", "a", "b").collect()) == sorted(
-        plain.select("k", "a", "b").collect()
-    )
-    loads = spread.filter("k = 'hot'").count()
-    assert loads == 300 * 3
+    assert spread.columns == plain.columns
+    assert sorted(spread.collect()) == sorted(plain.collect())
+
+
+def test_a_hot_key_goes_to_many_tasks(spark):
+    left, right = _sides(spark, False)
+    hot = joins.hot_keys(left, right, ["k"], rows_per_task=7, share=0.1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = joins.spread_join(left, right, ["k"], hot).filter("k = 'hot'")
+        loads = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(loads) == 4
+    assert max(r["count"] for r in loads) < 900 / 2
 
 
 def test_no_hot_keys(spark):
-    left = spark.range(100).withColumnRenamed("id", "k")
-    assert joins.hot_keys(left, ["k"], share=0.0, floor=1) is None
+    left, right = _sides(spark, True)
+    assert joins.hot_keys(left, right, ["k"]) is None
 
 
 def _weather(spark):

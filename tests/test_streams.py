@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway import feeds
+from headway.operators import joins
 from headway.operators.joins import hot_keys
 from headway.plans import staging
 from headway.sinks.tables import land, write_table
@@ -112,7 +113,7 @@ def tables(spark, tmp_path):
 def test_transit_stream_equals_batch(spark, tmp_path, tables, spread, slots):
     path, schedules, weather = tables
     predictions = files.snapshot(spark, path)
-    hot = hot_keys(predictions, staging.TRIP_KEYS, 0.1, 10) if spread else None
+    hot = hot_keys(predictions, schedules, staging.TRIP_KEYS, 2, 0.04) if spread else None
     assert (hot is not None) == spread
     store = streams.Store(str(tmp_path / "store"))
     query = streams.append_transit(spark, store, path, schedules, weather, hot, None, slots)
@@ -125,16 +126,28 @@ def test_transit_stream_equals_batch(spark, tmp_path, tables, spread, slots):
         "rows": len(expected), "valid_delay": 0, "valid_schedule": 0, "valid_hour_bucket": 0,
         "valid_day_type": 0,
     }
+    left, right = predictions.collect(), schedules.collect()
     brute = [
         (p, s)
-        for p in predictions.collect()
-        for s in schedules.collect()
+        for p in left
+        for s in right
         if p.trip_id is not None and p.trip_id == s.trip_id and p.arrival_time and s.arrival_time
     ]
     assert len(expected) == len(brute)
     assert {r.weather_condition for r in expected} == {"snow"}
 
 
+def test_long_weather_is_salted_in_a_stream(spark, tmp_path, tables, monkeypatch):
+    """Weather beyond the broadcast limit gives the same rows."""
+    path, schedules, weather = tables
+    store = streams.Store(str(tmp_path / "store"))
+    batch = staging.transit_performance(files.snapshot(spark, path), schedules, weather)
+    monkeypatch.setattr(joins.with_daily_weather, "__defaults__", (joins.WEATHER_FIELDS, 0))
+    streams.finish(streams.append_transit(spark, store, path, schedules, weather))
+    streamed = files.snapshot(spark, store.table(staging.TRANSIT_TABLE)).select(*batch.columns)
+    assert sorted(streamed.collect()) == sorted(batch.collect())
+
+
 def test_late_weather_stays_clear_in_a_stream(spark, tmp_path, tables):
     path, schedules, weather = tables
     store = streams.Store(str(tmp_path / "store"))
@@ -162,10 +175,13 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path):
     assert {(r.v, r.p) for r in spark.read.parquet(path).collect()} == {(9, "a"), (2, "b")}
 
 
-def test_clustering_spreads_a_hot_value(spark, tmp_path):
+@pytest.mark.parametrize("copies", [False, True])
+def test_clustering_spreads_a_hot_value(spark, copies):
     from headway.sinks.tables import clustered
 
-    rows = spark.range(20000).select(F.lit("same").alias("k"), "id")
+    rows = spark.range(20000).select(
+        F.lit("same").alias("k"), (F.lit(1) if copies else F.col("id")).alias("v")
+    )
     placed = clustered(rows.repartition(4), ["k"])
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
