@@ -77,8 +77,8 @@ def trip_statistics(df: DataFrame, spec: FactSpec, percentiles: str = "exact") -
     value and shrinks to its distinct whole seconds, whose counts are then
     ranked. Results do not depend on how the rows are split. ``sketch`` is one
     pass with a bounded sketch per group, combined on the map side, for
-    measures with too many distinct values to count. It is exact up to about
-    10,000 rows in a group and off by at most 1/10,000 of the ranks beyond.
+    measures with too many distinct values to count. It is exact up to some
+    5,000 rows in a group and off by at most 1/10,000 of the ranks beyond.
     """
     rows = df.filter(F.col(spec.measure).isNotNull())
     if percentiles == "sketch":

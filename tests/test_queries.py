@@ -36,7 +36,7 @@ def _plan(df):
 
 
 LAZY = """hour_and_day_strata weather_pivot transit_performance driving_performance
-    transit_reliability transit_reliability_exact ship_delay_reliability mode_comparison
+    transit_reliability transit_reliability_sketch ship_delay_reliability mode_comparison
     weather_impact mode_comparison_sliced change_feed flattened_predictions retired_routes""".split()
 
 
