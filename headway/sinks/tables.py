@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,11 +50,18 @@ def write_table(
 
 def land(df: DataFrame, landing: str, folder: str, day: str) -> str | None:
     """Append rows as JSON lines to a dated folder; no rows, no folder."""
+    return land_counted(df, landing, folder, day)[0]
+
+
+def land_counted(df: DataFrame, landing: str, folder: str, day: str) -> tuple[str | None, int]:
+    """As ``land``, with the number of rows, which is counted while they are written."""
     if df.isEmpty():
-        return None
+        return None, 0
     path = f"{landing}/{folder}/{day}"
-    df.write.mode("append").json(path)
-    return path
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("records"))
+    counted.write.mode("append").json(path)
+    return path, written.get["records"]
 
 
 def append_stream(

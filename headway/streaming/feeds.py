@@ -62,6 +62,7 @@ def append_transit(
     hot: DataFrame | None = None,
     time_zone: str | None = None,
     slots: int | None = None,
+    match_service_date: bool = False,
 ) -> StreamingQuery:
     """New predictions against the schedules and weather known now.
 
@@ -69,7 +70,9 @@ def append_transit(
     refresh does.
     """
     arriving = increments(spark, predictions)
-    rows = staging.transit_performance(arriving, schedules, daily, hot, time_zone)
+    rows = staging.transit_performance(
+        arriving, schedules, daily, hot, time_zone, match_service_date
+    )
     return append_dataset(
         rows, store, staging.TRANSIT_TABLE, staging.TRANSIT_RULES, staging.TRANSIT_PARTITION, slots
     )
