@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import trial_tables as t  # noqa: E402
 from headway import feeds  # noqa: E402
-from headway.functions import cells, clock, keys, scoring, weather  # noqa: E402
+from headway.functions import cells, clock, keys, weather  # noqa: E402
 from headway.functions.labels import first_match  # noqa: E402
 from headway.operators import changes, comparison, expectations, reliability  # noqa: E402
 from headway.plans import daily, reports, staging  # noqa: E402
@@ -1087,9 +1087,10 @@ def clustered_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """WITH older AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer
-        WHERE c_custkey % 10 <> 1),
-    newer AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN NULL
-        ELSE c_nationkey END AS c_nationkey, c_acctbal FROM customer WHERE c_custkey % 10 <> 2),
+        WHERE c_mktsegment <> 'BUILDING'),
+    newer AS (SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN NULL
+        ELSE c_nationkey END AS c_nationkey, c_acctbal FROM customer
+        WHERE c_mktsegment <> 'MACHINERY'),
     pairs AS (SELECT o.c_custkey AS ok, n.c_custkey AS nk, o, n FROM older o
         FULL JOIN newer n ON o.c_custkey = n.c_custkey
         WHERE o.c_custkey IS NULL OR n.c_custkey IS NULL
@@ -1103,14 +1104,12 @@ def clustered_table(spark: SparkSession, folder: str) -> DataFrame:
         FROM pairs WHERE ok IS NOT NULL"""
 )
 def change_feed(spark: SparkSession, folder: str) -> DataFrame:
-    customers = t.table(spark, folder, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal"
-    )
-    key = F.col("c_custkey")
-    moved = first_match([(key % 7 == 0, F.lit(None).cast("int"))], F.col("c_nationkey"))
-    older = customers.filter(key % 10 != 1)
-    newer = customers.filter(key % 10 != 2).withColumn("c_nationkey", moved)
-    return changes.change_feed(older, newer, ["c_custkey"])
+    customers = t.table(spark, folder, "customer")
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]
+    moved = first_match([(F.col("c_acctbal") < 0, F.lit(None).cast("int"))], F.col("c_nationkey"))
+    older = customers.filter("c_mktsegment <> 'BUILDING'").select(*columns)
+    newer = customers.filter("c_mktsegment <> 'MACHINERY'").withColumn("c_nationkey", moved)
+    return changes.change_feed(older, newer.select(*columns), ["c_custkey"])
 
 
 # --- reports and the daily run ------------------------------------------------------------

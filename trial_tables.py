@@ -125,13 +125,13 @@ def driving(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """Long-form station readings; every ninth day has none."""
+    """Long-form station readings; the station is closed on Wednesdays."""
     codes = "array('PRCP', 'TMAX', 'TMIN', 'SNOW', 'SNWD', 'AWND', 'WSF2')"
     code = f"{codes}[event_id % 7]"
     k = "(event_id * 5 + user_id)"
     return (
         table(spark, folder, "events")
-        .filter("day(ts) % 9 <> 0")
+        .filter("dayofweek(ts) <> 4")
         .selectExpr(
             "CAST(ts AS date) AS observation_date",
             "event_id AS pos",
@@ -162,7 +162,10 @@ def known_weather(spark: SparkSession, folder: str) -> DataFrame:
 
 def transit(spark: SparkSession, folder: str, **options: object) -> DataFrame:
     return staging.transit_performance(
-        predictions(spark, folder), schedules(spark, folder), known_weather(spark, folder), **options
+        predictions(spark, folder),
+        schedules(spark, folder),
+        known_weather(spark, folder),
+        **options,
     )
 
 
@@ -177,7 +180,6 @@ def as_landed(df: DataFrame, feed: Feed) -> DataFrame:
     return df.withColumns({**times, **days})
 
 
-_STOP = "{k} % 12"
 _LOCATED = """
     concat('S', {k} % 12) AS stop_id, concat('Stop ', {k} % 12) AS stop_name,
     42 + ({k} % 12) / 16::DOUBLE AS stop_latitude, -71 - ({k} % 12) / 16::DOUBLE AS stop_longitude,
@@ -245,7 +247,7 @@ SQL = {
             WHEN 'SNWD' THEN (k % 5)::DOUBLE ELSE (k % 40)::DOUBLE END AS value
         FROM (SELECT *, event_id * 5 + user_id AS k,
             (['PRCP', 'TMAX', 'TMIN', 'SNOW', 'SNWD', 'AWND', 'WSF2'])[event_id % 7 + 1]
-            AS datatype FROM events WHERE day(ts) % 9 <> 0)""",
+            AS datatype FROM events WHERE dayofweek(ts) <> 3)""",
     "weather": f"""SELECT *, CASE WHEN coalesce(snow_inches, 0) > 0 THEN 'snow'
             WHEN coalesce(precipitation_inches, 0) > 0.1::DOUBLE THEN 'rain'
             ELSE 'clear' END AS weather_condition,
