@@ -1181,3 +1181,21 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     reports.land_sources(spark, _landing_jobs(spark, folder), landing, _DAY)
     daily.run_daily(spark, landing, root, _DAY)
     return spark.sql(f"SELECT * FROM {comparison.COMPARISON_TABLE}")
+
+
+# --- operators for training data, where their subpackage is there ---------------------------
+
+try:
+    import corpus_pipeline
+    from headway.llm import queries as _llm
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "headway.llm", "headway.llm.queries"):
+        raise
+    LLM_QUERIES: tuple[str, ...] = ()
+else:
+    for _name, _run in {**_llm.QUERIES, "pipeline": corpus_pipeline.run}.items():
+        _QUERIES[_name] = lambda spark, folder, _run=_run: _run(tune(spark), folder)
+    _SQL.update(_llm.SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+    LLM_QUERIES = (*_llm.QUERIES, "pipeline")

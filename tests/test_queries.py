@@ -17,14 +17,17 @@ def db():
     return check.connection(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+OWN = sorted(registered.queries().keys() - set(registered.LLM_QUERIES))
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, db, name):
     problem = check.difference(spark, db, name, DATA)
     assert problem in (None, "no rows"), problem
 
 
 def test_every_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    assert set(OWN) <= registered.oracle_sql().keys()
 
 
 def test_entry(spark):
