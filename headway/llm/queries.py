@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, simhash
+from headway.llm import common, quality, simhash
 
 
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_dedup(common.documents(spark, folder), size=3, radius=2)
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(common.documents(spark, folder))
+
+
 QUERIES = {
     run.__name__: run
-    for run in (op5_simhash_near_dedup,)
+    for run in (op5_simhash_near_dedup, op8_quality_rules)
 }
 SQL: dict[str, str] = {}
