@@ -87,7 +87,11 @@ def add_columns(df: DataFrame, added: str, work) -> DataFrame:
         for batch in batches:
             yield appended(batch, work(batch))
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *T.StructType.fromDDL(added)]))
+    return df.mapInArrow(run, with_fields(df, added))
+
+
+def with_fields(df: DataFrame, added: str) -> T.StructType:
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(added)])
 
 
 def runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:

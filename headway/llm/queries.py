@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, quality, simhash
+from headway.llm import common, quality, simhash, toxicity
+
+
+def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    labels = common.documents(spark, folder, "labels")
+    return toxicity.toxicity(common.documents(spark, folder), labels)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +22,6 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     run.__name__: run
-    for run in (op5_simhash_near_dedup, op8_quality_rules)
+    for run in (op1_toxic_segments, op5_simhash_near_dedup, op8_quality_rules)
 }
 SQL: dict[str, str] = {}
