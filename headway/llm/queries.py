@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, quality, simhash, toxicity
+from headway.llm import common, digests, quality, simhash, toxicity
 
 
 def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,8 +20,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(common.documents(spark, folder))
 
 
+def op10_quartile_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return digests.fingerprints(common.documents(spark, folder))
+
+
 QUERIES = {
     run.__name__: run
-    for run in (op1_toxic_segments, op5_simhash_near_dedup, op8_quality_rules)
+    for run in (op1_toxic_segments, op5_simhash_near_dedup, op8_quality_rules, op10_quartile_digests)
 }
 SQL: dict[str, str] = {}
