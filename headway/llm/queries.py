@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, digests, quality, simhash, toxicity
+from headway.llm import common, digests, pieces, quality, simhash, toxicity
 
 
 def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,6 +17,11 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_dedup(common.documents(spark, folder), size=3, radius=2)
 
 
+def op6_piece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.round_trip(common.documents(spark, folder), path)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(common.documents(spark, folder))
 
@@ -26,6 +32,12 @@ def op10_quartile_digests(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     run.__name__: run
-    for run in (op1_toxic_segments, op5_simhash_near_dedup, op8_quality_rules, op10_quartile_digests)
+    for run in (
+        op1_toxic_segments,
+        op5_simhash_near_dedup,
+        op6_piece_round_trip,
+        op8_quality_rules,
+        op10_quartile_digests,
+    )
 }
 SQL: dict[str, str] = {}
