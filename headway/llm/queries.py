@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, digests, pieces, quality, simhash, toxicity
+from headway.llm import common, digests, packing, pieces, quality, simhash, token_files, toxicity
+from headway.session import scratch_path
 
 
 def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -13,6 +14,17 @@ def op1_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(common.documents(spark, folder), labels)
 
 
+def op2_tiered_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(common.documents(spark, folder), path, end_id=1)
+
+
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = scratch_path(spark, "tokens")
+    return token_files.round_trip(common.documents(spark, folder), out, path, end_id=0)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_dedup(common.documents(spark, folder), size=3, radius=2)
 
@@ -34,6 +46,8 @@ QUERIES = {
     run.__name__: run
     for run in (
         op1_toxic_segments,
+        op2_tiered_packing,
+        op4_token_files,
         op5_simhash_near_dedup,
         op6_piece_round_trip,
         op8_quality_rules,
