@@ -199,16 +199,16 @@ def models(counted: DataFrame) -> list[Model] | None:
 
     At most four counts for each of ``BUCKETS`` buckets reach the driver.
     """
-    rows = counted.toPandas()
-    sums = np.zeros((2, 2, BUCKETS + 1))
-    sums[rows["half"], rows["toxic"], rows["bucket"]] = rows["n"]
+    rows = counted.select(*(F.col(c).cast("int") for c in ("half", "toxic", "bucket")), "n").toArrow()
+    sums = np.zeros((2, 2, BUCKETS + 1), dtype=np.float32)
+    sums[tuple(rows.column(c).to_numpy() for c in ("half", "toxic", "bucket"))] = rows.column("n").to_numpy()
     out = []
     for pick in (sums[0], sums[1], sums.sum(axis=0)):
         total = pick.sum(axis=0)
         if not 0 < pick[1, BUCKETS] < total[BUCKETS]:
             return None
         base = pick[1, BUCKETS] / total[BUCKETS]
-        out.append(Model(pick[1].astype(np.float32), total.astype(np.float32), float(base)))
+        out.append(Model(pick[1], total, float(base)))
     return out
 
 
@@ -264,13 +264,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Calibration] | None:
     sample = sample.withColumn("half", F.pmod("place", F.lit(2)).cast("int"))
     # twenty numbers for each calibrating label; rows beyond come from ids that repeat
     seen = sample.select("half", "toxic", "text").mapInArrow(best, "toxic int, tokens long, scores array<double>")
-    got = seen.limit(2 * CALIBRATE_ROWS).toPandas()
-    each = [list(map(float, s)) for s in got["scores"]]
+    got = seen.limit(2 * CALIBRATE_ROWS).toArrow()
+    each = got.column("scores").to_pylist()
     first = np.array([max(s, default=0.0) for s in each])
-    toxic = got["toxic"].to_numpy().astype(float)
+    toxic = got.column("toxic").to_numpy().astype(float)
     if not 0 < toxic.sum() < len(toxic):
         return None
-    return fitted[2], calibrated(first, got["tokens"].to_numpy(), toxic, each)
+    return fitted[2], calibrated(first, got.column("tokens").to_numpy(), toxic, each)
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
