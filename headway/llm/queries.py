@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, digests, packing, pieces, quality, simhash, token_files, toxicity
+from headway.llm import common, digests, packing, pieces, quality, sharding, simhash, token_files, toxicity
 from headway.session import scratch_path
 
 
@@ -34,6 +34,10 @@ def op6_piece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(common.documents(spark, folder), path)
 
 
+def op7_bounded_ring(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(common.documents(spark, folder), shards=16)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(common.documents(spark, folder))
 
@@ -50,6 +54,7 @@ QUERIES = {
         op4_token_files,
         op5_simhash_near_dedup,
         op6_piece_round_trip,
+        op7_bounded_ring,
         op8_quality_rules,
         op10_quartile_digests,
     )
