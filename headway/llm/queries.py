@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, digests, packing, pieces, quality, sharding, simhash, token_files, toxicity
+from headway.llm import common, digests, packing, pieces, quality, secret_scan, sharding, simhash, token_files, toxicity
 from headway.session import scratch_path
 
 
@@ -19,6 +19,10 @@ def op2_tiered_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(common.documents(spark, folder), path, end_id=1)
 
 
+def op3_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scanned(common.documents(spark, folder))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     out = scratch_path(spark, "tokens")
@@ -51,6 +55,7 @@ QUERIES = {
     for run in (
         op1_toxic_segments,
         op2_tiered_packing,
+        op3_secret_forest,
         op4_token_files,
         op5_simhash_near_dedup,
         op6_piece_round_trip,
