@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, digests, packing, pieces, quality, secret_scan, sharding, simhash, token_files, toxicity
+from headway.llm import common, digests, packing, pieces, quality, secret_scan, sharding, simhash, surrogates, token_files, toxicity
 from headway.session import scratch_path
 
 
@@ -46,6 +46,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(common.documents(spark, folder))
 
 
+def op9_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.pseudonymised(common.documents(spark, folder))
+
+
 def op10_quartile_digests(spark: SparkSession, folder: str) -> DataFrame:
     return digests.fingerprints(common.documents(spark, folder))
 
@@ -61,6 +65,7 @@ QUERIES = {
         op6_piece_round_trip,
         op7_bounded_ring,
         op8_quality_rules,
+        op9_keyed_surrogates,
         op10_quartile_digests,
     )
 }
