@@ -1,0 +1,203 @@
+"""Sharding, digests, surrogates, secrets and the pipeline."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from headway.llm import digests, queries, secret_scan, sharding, surrogates
+
+
+def check_rows_law(rows, shards, texts):
+    slots = collections.defaultdict(list)
+    for r in rows:
+        text = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(text) + 1, zlib.crc32(text), "rows", None)
+        slots[r.shard].append(r.slot)
+    assert len(rows) == len(texts) and set(slots) <= set(range(shards))
+    sizes = [len(slots[s]) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shard_query(spark, small, texts):
+    check_rows_law(queries.op7_bounded_ring(spark, small).collect(), 16, texts)
+
+
+def test_crowded_cells_are_cut(spark, small, texts, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 1)
+    copies = spark.range(500).select(F.lit(3).cast("long").alias("doc_id"), F.lit("copy").alias("text"))
+    rows = sharding.sharded(copies, 16).collect()
+    counts = collections.Counter(r.shard for r in rows)
+    assert sorted(counts.values()) == [31] * 12 + [32] * 4
+    assert len({(r.shard, r.slot) for r in rows}) == 500
+
+
+def test_another_shard_moves_little():
+    rng = np.random.default_rng(0)
+    counts = np.bincount(rng.integers(0, sharding.CELLS, 200_000), minlength=sharding.CELLS)
+
+    def owners(shards, slack):
+        out = np.full(200_000, -1)
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        for cell, first, end, shard, _ in sharding.place_cells(counts, shards, slack):
+            out[starts[cell] + first : starts[cell] + end] = shard
+        assert (out >= 0).all()
+        assert np.bincount(out).max() <= max(sharding.bounds(200_000, shards, slack))
+        return out
+
+    exact = (owners(16, 0.0) != owners(17, 0.0)).mean()
+    loose = (owners(16, 0.2) != owners(17, 0.2)).mean()
+    assert loose < 0.08 and exact < 0.16 and loose <= exact
+
+
+def test_digest_query(spark, small, texts):
+    ids = list(texts)
+    rows = {r.doc_id: r for r in queries.op10_quartile_digests(spark, small).collect()}
+    for place, doc in enumerate(ids):
+        text, after = texts[doc] or "", texts[ids[(place + 1) % len(ids)]] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        own, changed, following = map(digests.digest, (text, edited, after))
+        r = rows[doc]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (own.text(), changed.text())
+        assert (r.near_edited, r.near_next) == (own.likeness(changed), own.likeness(following))
+        assert digests.read(r.fingerprint).difference(own) == 0
+    nearer = sum(r.near_edited > r.near_next for r in rows.values())
+    assert nearer > 0.97 * len(rows)
+
+
+def test_triplets_are_counted_one_by_one():
+    data = "Zwölf Boxkämpfer".encode()
+    wanted = np.zeros(digests.BUCKETS, dtype=np.int64)
+    for i in range(len(data)):
+        for a, b, c, factor in digests.TRIPLETS:
+            if i + c < len(data):
+                value = data[i + a] | data[i + b] << 8 | data[i + c] << 16
+                wanted[(value * factor & 0xFFFFFFFF) >> 24] += 1
+    assert (digests.triplet_counts(data) == wanted).all()
+    digests.AT_ONCE, before = 5, digests.AT_ONCE
+    try:
+        assert (digests.triplet_counts(data) == wanted).all()
+    finally:
+        digests.AT_ONCE = before
+    assert digests.digest("").likeness(digests.digest("")) == 1.0
+
+
+PRIVATE = [
+    (1, "Mail Bob.X9@Mail7.example.com or +1 (017) 555-7713, card 4111 1111 1111 1111 and 97.51.17.173."),
+    (2, "Mr John Smith met Frau Müller; Mr. Smith left. DE44 5001 0517 5407 3249 31, 123-45-6789"),
+    (3, "bob.x9@mail7.example.com wrote; 4111111111111111!! Ann@mail7.example.com"),
+    (4, "Nothing of the kind in 2024, 3.14 or v1.2.3."),
+    (5, "Госпожа Анна Белова"),
+    (6, "4845168114407329 7536784127813050 x TOKEN A.B@MAIL.EXAMPLE.ORG"),
+]
+
+
+def test_surrogates_keep_kind_and_agree(spark):
+    frame = spark.createDataFrame(PRIVATE, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymised(frame).collect()}
+    for value in "Bob.X9 bob.x9 555-7713 4111 97.51.17.173 John Smith Müller 5001 123-45-6789 Анна Белова 4845168114407329 A.B@".split():
+        assert all(value not in t for t in got.values()), value
+    assert got[4] == PRIVATE[3][1]
+    mail = re.search(r"Mail (\S+@\S+\.com)", got[1]).group(1)
+    assert mail in got[3] and got[3].split("@")[-1] == mail.split("@")[1]  # one address, one domain
+    card = re.search(r"card ([\d ]{19})", got[1]).group(1)
+    assert card.replace(" ", "") in got[3]
+    digits = [int(d) for d in card.replace(" ", "")][::-1]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+    first, last = re.search(r"Mr (\w+) (\S+) met", got[2]).groups()
+    assert first in surrogates.GIVEN["m"] and f"Mr. {last} left" in got[2]
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[1]) and re.search(r"DE\d\d( \d{4}){4} \d\d", got[2])
+    assert got[5].split()[1] in surrogates.GIVEN_CYRILLIC["f"] and got[5].endswith("а")
+    assert re.search(r"[A-Z]\.[A-Z]@[A-Z]+\.", got[6])
+    other = surrogates.pseudonymised(frame, key="another").collect()
+    assert all(r.text != got[r.doc_id] for r in other if r.doc_id not in (4,))
+
+
+def test_surrogates_stay_distinct(spark):
+    """More surnames than the list has: the clashes are tried again until all differ."""
+    rows = [(i, f"Dr Zed{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} said") for i in range(1500)]
+    got = surrogates.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.text for r in got}) == 1500
+
+
+def test_surrogates_run_without_python(spark, small):
+    query = queries.op9_keyed_surrogates(spark, small)
+    plan = query._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    pattern = re.compile(r"[\w.]+@[\w.]+\.com|\d{16}|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d+\.\d+\.\d+\.\d+\b")
+    changed = 0
+    for r in query.collect():
+        found = pattern.findall(texts[r.doc_id])
+        assert not any(f in r.text for f in found)
+        changed += bool(found)
+        assert (r.text == texts[r.doc_id]) == (r.n_mentions == 0)
+    assert changed
+
+
+def test_forest_on_findings_it_has_not_seen(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    from headway.llm import common
+
+    common.prepare(spark)
+    known, forest = secret_scan.fit(docs)
+    fresh = secret_scan.made_up(1000, seed=99)
+    rows = np.array([secret_scan.features(t, s, e, known) for t, s, e, _ in fresh])
+    right = (forest.share(rows) >= secret_scan.SECRET_FROM) == np.array([s for *_, s in fresh], dtype=bool)
+    assert right.mean() > 0.95
+
+
+def test_secret_query(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    planted = found = wrong = 0
+    for r in queries.op3_secret_forest(spark, folder).collect():
+        wanted = {m.span() for m in re.finditer(r"\b[0-9a-fA-F]{40}\b", texts[r.doc_id])}
+        got = {(f.start, f.start + f.length) for f in r.findings if f.secret}
+        assert r.n_candidates == len(r.findings) and r.n_secrets == len(got)
+        planted, found, wrong = planted + len(wanted), found + len(wanted & got), wrong + len(got - wanted)
+    assert planted and found >= 0.95 * planted and wrong <= 0.05 * planted
+
+
+@pytest.fixture(scope="module")
+def stages(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(stage(spark, out[-1], small).persist())
+    return out
+
+
+def test_stages_follow_each_other(stages):
+    docs, *kept, packed = stages
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for frame in kept:
+        assert frame.columns == docs.columns
+        after = {r.doc_id: r.text for r in frame.collect()}
+        assert after.keys() <= before.keys()
+        before = {i: before[i] for i in after}
+    cleaned = {r.doc_id: r.text for r in kept[3].collect()}
+    assert cleaned.keys() == before.keys()
+    assert not any(re.search(r"token = \"[0-9a-f]{40}\"", t) for t in cleaned.values())
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == cleaned.keys()
+
+
+def test_stages_decide_like_their_operators(spark, small, stages):
+    good = {r.doc_id for r in queries.op8_quality_rules(spark, small).filter("kept").collect()}
+    assert {r.doc_id for r in stages[1].collect()} == good
+
+
+def test_run(spark, small, stages):
+    rows = corpus_pipeline.run(spark, small)
+    assert rows.columns == stages[-1].columns
+    assert sum(r.length for r in rows.collect()) == sum(r.length for r in stages[-1].collect())
