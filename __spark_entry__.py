@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 from collections.abc import Callable
@@ -15,9 +16,9 @@ import trial_tables as t  # noqa: E402
 from headway import feeds  # noqa: E402
 from headway.functions import cells, clock, keys, weather  # noqa: E402
 from headway.functions.labels import first_match  # noqa: E402
-from headway.operators import changes, comparison, expectations, reliability  # noqa: E402
+from headway.operators import changes, comparison, expectations, joins, reliability  # noqa: E402
 from headway.plans import daily, reports, staging  # noqa: E402
-from headway.session import durable, scratch_path, tune  # noqa: E402
+from headway.session import durable, scratch_path, stored, tune  # noqa: E402
 from headway.sinks import tables as sink  # noqa: E402
 from headway.sources import files, payloads, routes  # noqa: E402
 from headway.streaming import feeds as streams  # noqa: E402
@@ -243,6 +244,35 @@ def latest_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return staging.latest_predictions(repeated).select("prediction_id", "trip_id", "fetched_at")
 
 
+@query(
+    t.with_tables(
+        """SELECT trip_id, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at
+        FROM (SELECT trip_id, fetched_at FROM predictions WHERE trip_id IS NULL
+            UNION ALL SELECT trip_id, fetched_at FROM predictions
+            WHERE hash_key % 3 = 0 UNION ALL SELECT trip_id, max(fetched_at) FROM predictions
+            WHERE hash_key % 3 <> 0 GROUP BY trip_id)""".replace("hash_key", "length(trip_id)"),
+        "predictions",
+    )
+)
+def latest_predictions_with_unknown_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of a prediction collapse; rows without an id all stay."""
+    some = F.when(F.length("trip_id") % 3 != 0, F.col("trip_id"))
+    repeated = t.predictions(spark, folder).withColumn("prediction_id", some)
+    return staging.latest_predictions(repeated).select("trip_id", "fetched_at")
+
+
+@query(
+    """SELECT c_custkey, s_suppkey, c_nationkey AS nation FROM customer
+    JOIN supplier ON c_nationkey = s_nationkey"""
+)
+def crowded_nations(spark: SparkSession, folder: str) -> DataFrame:
+    """A many-to-many join in which every key is hot by the pairs it makes."""
+    left = t.table(spark, folder, "customer").selectExpr("c_nationkey AS nation", "c_custkey")
+    right = t.table(spark, folder, "supplier").selectExpr("s_nationkey AS nation", "s_suppkey")
+    hot = joins.hot_keys(left, right, ["nation"], share=0.001, pairs_per_task=4)
+    return joins.spread_join(left, right, ["nation"], hot).select("c_custkey", "s_suppkey", "nation")
+
+
 _DRIVEN_SHOWN = t.shown_sql(
     """driving_id route_name origin_latitude origin_longitude origin_h3_index
     destination_latitude destination_longitude destination_h3_index distance_meters
@@ -309,14 +339,18 @@ _DRIVING_FACT_SQL = t.with_tables(
 )
 
 
-def _transit_fact(spark: SparkSession, folder: str, percentiles: str = "exact") -> DataFrame:
-    return reliability.reliability_fact(
-        t.transit(spark, folder), reliability.TRANSIT, percentiles
-    )
+def _transit_fact(
+    spark: SparkSession, folder: str, percentiles: str = "exact", known: DataFrame | None = None
+) -> DataFrame:
+    trips = t.transit(spark, folder, known)
+    return reliability.reliability_fact(trips, reliability.TRANSIT, percentiles)
 
 
-def _driving_fact(spark: SparkSession, folder: str, percentiles: str = "exact") -> DataFrame:
-    return reliability.reliability_fact(t.driven(spark, folder), reliability.DRIVING, percentiles)
+def _driving_fact(
+    spark: SparkSession, folder: str, percentiles: str = "exact", known: DataFrame | None = None
+) -> DataFrame:
+    trips = t.driven(spark, folder, known)
+    return reliability.reliability_fact(trips, reliability.DRIVING, percentiles)
 
 
 @query(_TRANSIT_FACT_SQL)
@@ -385,7 +419,9 @@ def ship_delay_reliability(spark: SparkSession, folder: str) -> DataFrame:
 
 def _facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Both facts written once, as their consumers read them more than once."""
-    return durable(_transit_fact(spark, folder)), durable(_driving_fact(spark, folder))
+    known = t.known_weather(spark, folder)
+    facts = _transit_fact(spark, folder, known=known), _driving_fact(spark, folder, known=known)
+    return stored(facts[0], "fact"), stored(facts[1], "fact")
 
 
 _PLACE = "PARTITION BY location_h3, hour_bucket, day_type, weather_condition"
@@ -524,14 +560,21 @@ def weather_impact_from_clear(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _checked(spark: SparkSession, folder: str) -> list[tuple[DataFrame, str, tuple]]:
+    known = t.known_weather(spark, folder)
+    transit = stored(t.transit(spark, folder, known), "transit")
+    driven = stored(t.driven(spark, folder, known), "driven")
+    transit_fact = reliability.reliability_fact(transit, reliability.TRANSIT)
+    driving_fact = reliability.reliability_fact(driven, reliability.DRIVING)
     return [
         (t.predictions(spark, folder), "predictions", feeds.PREDICTIONS.expectations),
         (t.schedules(spark, folder), "schedules", feeds.SCHEDULES.expectations),
         (t.weather(spark, folder), "weather", feeds.WEATHER.expectations),
         (t.driving(spark, folder), "driving", feeds.DRIVING.expectations),
         (t.weather_daily(spark, folder), "weather_daily", staging.WEATHER_RULES),
-        (t.transit(spark, folder), "transit", staging.TRANSIT_RULES),
-        (t.driven(spark, folder), "driven", staging.DRIVING_RULES),
+        (transit, "transit", staging.TRANSIT_RULES),
+        (driven, "driven", staging.DRIVING_RULES),
+        (transit_fact, "transit_fact", reliability.TRANSIT.expectations()),
+        (driving_fact, "driving_fact", reliability.DRIVING.expectations()),
     ]
 
 
@@ -551,6 +594,8 @@ _RULES = (
     *(("weather_daily", rule) for rule in staging.WEATHER_RULES),
     *(("transit", rule) for rule in staging.TRANSIT_RULES),
     *(("driven", rule) for rule in staging.DRIVING_RULES),
+    *(("transit_fact", rule) for rule in reliability.TRANSIT.expectations()),
+    *(("driving_fact", rule) for rule in reliability.DRIVING.expectations()),
 )
 _VIOLATIONS = " UNION ALL ".join(
     f"""SELECT '{name}' AS dataset, '{rule.name}' AS expectation, '{rule.action}' AS action,
@@ -560,7 +605,7 @@ _VIOLATIONS = " UNION ALL ".join(
 )
 
 
-@query(t.with_tables(_VIOLATIONS, "transit", "driven"))
+@query(t.with_tables(_VIOLATIONS, "transit_fact", "driving_fact"))
 def expectation_report(spark: SparkSession, folder: str) -> DataFrame:
     return _violations(spark, folder)
 
@@ -569,8 +614,8 @@ def expectation_report(spark: SparkSession, folder: str) -> DataFrame:
     t.with_tables(
         f"""SELECT dataset || '.' || expectation AS test_name, failed_rows = 0 AS passed
         FROM ({_VIOLATIONS})""",
-        "transit",
-        "driven",
+        "transit_fact",
+        "driving_fact",
     )
 )
 def expectation_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -1028,7 +1073,8 @@ def raw_driving_streamed(spark: SparkSession, folder: str) -> DataFrame:
 def strata_streamed(spark: SparkSession, folder: str) -> DataFrame:
     """New rows of a stored table, enriched without state."""
     schema = t.table(spark, folder, "events").schema
-    arriving = files.increments(spark, folder, schema, pathGlobFilter="events.parquet")
+    # the pattern matches the table both as one file and as a folder of files
+    arriving = files.increments(spark, f"{folder}/events.parquet*", schema)
     hour = F.hour("ts")
     rows = arriving.select(
         "event_id",
@@ -1050,7 +1096,7 @@ def transit_performance_streamed(spark: SparkSession, folder: str) -> DataFrame:
     store = streams.Store(scratch_path(spark, "store"))
     predictions = _written(spark, t.predictions(spark, folder), "fetched_date")
     schedules = files.snapshot(spark, _written(spark, t.schedules(spark, folder)))
-    known = files.snapshot(spark, _written(spark, t.weather_daily(spark, folder)))
+    known = t.known_weather(spark, folder)
     streams.finish(streams.append_transit(spark, store, predictions, schedules, known))
     return files.snapshot(spark, store.table(staging.TRANSIT_TABLE))
 
@@ -1059,7 +1105,7 @@ def transit_performance_streamed(spark: SparkSession, folder: str) -> DataFrame:
 def driving_performance_streamed(spark: SparkSession, folder: str) -> DataFrame:
     store = streams.Store(scratch_path(spark, "store"))
     driving = _written(spark, t.driving(spark, folder), "fetched_date")
-    known = files.snapshot(spark, _written(spark, t.weather_daily(spark, folder)))
+    known = t.known_weather(spark, folder)
     streams.finish(streams.append_driving(spark, store, driving, known))
     return files.snapshot(spark, store.table(staging.DRIVING_TABLE)).drop("driving_id")
 
@@ -1139,11 +1185,15 @@ def validation_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _landing_jobs(spark: SparkSession, folder: str) -> dict:
+def _landing_jobs(spark: SparkSession, folder: str, reported_only: bool = False) -> dict:
+    def weather_rows() -> DataFrame:
+        rows = _weather_rows(spark, folder)
+        return t.reported(rows) if reported_only else rows
+
     rows = {
         "mbta_predictions": lambda: t.predictions(spark, folder),
         "mbta_schedules": lambda: t.schedules(spark, folder),
-        "noaa": lambda: _weather_rows(spark, folder),
+        "noaa": weather_rows,
         "driving": lambda: t.driving(spark, folder),
     }
     return {
@@ -1178,11 +1228,135 @@ def landing_report(spark: SparkSession, folder: str) -> DataFrame:
 def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     """Landed files through every table; the comparison is read by its name."""
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
-    reports.land_sources(spark, _landing_jobs(spark, folder), landing, _DAY)
+    reports.land_sources(spark, _landing_jobs(spark, folder, reported_only=True), landing, _DAY)
     daily.run_daily(spark, landing, root, _DAY)
     return spark.sql(f"SELECT * FROM {comparison.COMPARISON_TABLE}")
 
 
+@query(
+    t.with_tables(
+        """SELECT 'bronze_mbta_predictions' AS name, count(*) AS n FROM predictions
+        UNION ALL SELECT 'stg_mbta_performance', count(*) FROM transit
+        UNION ALL SELECT 'fct_mbta_route_reliability', count(*) FROM transit_fact
+        UNION ALL SELECT 'bronze_driving_routes', 0 UNION ALL SELECT 'stg_driving_performance', 0
+        UNION ALL SELECT 'fct_driving_route_reliability', 0""",
+        "transit_fact",
+    )
+)
+def daily_run_without_driving(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed that has landed nothing gives tables without rows, and the others are complete."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
+    jobs = _landing_jobs(spark, folder, reported_only=True)
+    reports.land_sources(spark, {k: v for k, v in jobs.items() if k != "driving"}, landing, _DAY)
+    daily.run_daily(spark, landing, root, _DAY)
+    return _sizes(
+        spark,
+        *("bronze_mbta_predictions", "stg_mbta_performance", "fct_mbta_route_reliability"),
+        *("bronze_driving_routes", "stg_driving_performance", "fct_driving_route_reliability"),
+    )
+
+
+@query(
+    t.with_tables(
+        """SELECT 'bronze_mbta_predictions' AS name, count(*) AS n FROM predictions
+        UNION ALL SELECT 'bronze_mbta_schedules', count(*) FROM schedules
+        UNION ALL SELECT 'stg_mbta_performance', 0
+        UNION ALL SELECT 'stg_driving_performance', count(*) FROM driven
+            WHERE duration_in_traffic_seconds IS NOT NULL""",
+        "predictions",
+        "schedules",
+        "driven",
+    )
+)
+def daily_run_without_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips that no schedule has give staging tables and facts without rows."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
+    jobs = _landing_jobs(spark, folder, reported_only=True)
+    place, rows = jobs["mbta_schedules"]
+    other = F.concat(F.lit("other "), "trip_id")
+    jobs["mbta_schedules"] = place, lambda: rows().withColumn("trip_id", other)
+    reports.land_sources(spark, jobs, landing, _DAY)
+    daily.run_daily(spark, landing, root, _DAY)
+    return _sizes(
+        spark,
+        *("bronze_mbta_predictions", "bronze_mbta_schedules", "stg_mbta_performance"),
+        "stg_driving_performance",
+    )
+
+
+def _sizes(spark: SparkSession, *names: str) -> DataFrame:
+    counts = [
+        spark.table(n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in names
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+_RUN_RULES = {
+    feeds.PREDICTIONS.table: ("predictions", feeds.PREDICTIONS.expectations),
+    feeds.SCHEDULES.table: ("schedules", feeds.SCHEDULES.expectations),
+    feeds.WEATHER.table: ("known_weather", feeds.WEATHER.expectations),
+    feeds.DRIVING.table: ("driving", feeds.DRIVING.expectations),
+    staging.WEATHER_TABLE: ("known_weather", staging.WEATHER_RULES),
+    staging.TRANSIT_TABLE: ("transit", staging.TRANSIT_RULES),
+    staging.DRIVING_TABLE: ("driven", staging.DRIVING_RULES),
+    reliability.TRANSIT.table: ("transit_fact", reliability.TRANSIT.expectations()),
+    reliability.DRIVING.table: ("driving_fact", reliability.DRIVING.expectations()),
+}
+
+
+@query(
+    t.with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{stored_as}' AS dataset, '{rule.name}' AS expectation,
+            '{rule.action}' AS action, count(*) AS total_rows,
+            count(*) FILTER (WHERE NOT coalesce({rule.predicate}, false)) AS failed_rows
+            FROM {name}"""
+            for stored_as, (name, rules) in _RUN_RULES.items()
+            for rule in rules
+        ),
+        "transit_fact",
+        "driving_fact",
+    )
+)
+def daily_run_expectations(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rule of a run, counted in its streams or over its stored tables."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
+    reports.land_sources(spark, _landing_jobs(spark, folder, reported_only=True), landing, _DAY)
+    return daily.run_daily(spark, landing, root, _DAY).expectations
+
+
+@query(
+    t.with_tables(
+        "SELECT observation_date::VARCHAR AS observation_date FROM weather UNION ALL "
+        "SELECT observation_date::VARCHAR FROM weather",
+        "weather",
+    )
+)
+def late_files_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that are much older than those read before come in with a second run."""
+    landing, late = scratch_path(spark, "landing"), scratch_path(spark, "late")
+    store = streams.Store(scratch_path(spark, "store"))
+    rows = t.as_landed(_weather_rows(spark, folder), feeds.WEATHER)
+    sink.land(rows, landing, feeds.WEATHER.folder, _DAY)
+    streams.finish(streams.append_raw(spark, feeds.WEATHER, landing, store))
+    sink.land(rows, late, feeds.WEATHER.folder, "2023-12-01")
+    _move_back_in_time(spark, f"{late}/{feeds.WEATHER.folder}/2023-12-01", landing)
+    streams.finish(streams.append_raw(spark, feeds.WEATHER, landing, store))
+    return files.snapshot(spark, store.table(feeds.WEATHER.table)).select("observation_date")
+
+
+def _move_back_in_time(spark: SparkSession, source: str, landing: str, days: int = 30) -> None:
+    """Set the times of landed files back, then put them where the feed is read."""
+    paths = spark._jvm.org.apache.hadoop.fs
+    path = paths.Path(source)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(path):
+        moment = status.getModificationTime() - days * 86_400_000
+        store.setTimes(status.getPath(), moment, -1)
+    target = paths.Path(f"{landing}/{feeds.WEATHER.folder}/{path.getName()}")
+    store.rename(path, target)
+
+
 # --- operators for training data, where their subpackage is there ---------------------------
 
 try:

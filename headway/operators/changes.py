@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.keys import row_hash
 from headway.operators.ranking import same
 
 COPIES_PER_TASK = 100_000
@@ -49,17 +50,15 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def _repeated(changed: DataFrame) -> DataFrame:
-    """Each row as often as ``_copies`` says; many copies come from many tasks."""
-    few = changed.filter(F.col("_copies") <= COPIES_PER_TASK)
-    left = F.col("_copies") - F.col("_chunk") * COPIES_PER_TASK
+    """Each row as often as ``_copies`` says; many copies of a row come from many tasks.
+
+    A row is cut into chunks of copies, which are dealt out by the row and the number of
+    the chunk before they are repeated.
+    """
     chunks = F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES_PER_TASK))
-    many = (
-        changed.filter(F.col("_copies") > COPIES_PER_TASK)
-        .withColumn("_chunk", F.explode(chunks))
-        .repartition("_chunk")
-        .withColumn("_copies", F.least(left, F.lit(COPIES_PER_TASK)))
-        .drop("_chunk")
-    )
-    numbered = few.unionByName(many)
-    one_each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return numbered.withColumn("_copy", one_each).drop("_copy", "_copies")
+    left = F.col("_copies") - F.col("_chunk") * COPIES_PER_TASK
+    dealt = changed.withColumn("_chunk", F.explode(chunks))
+    dealt = dealt.withColumn("_row", row_hash(changed)).repartition("_row", "_chunk")
+    copies = F.least(left, F.lit(COPIES_PER_TASK)).cast("int")
+    one_each = F.explode(F.sequence(F.lit(1), copies))
+    return dealt.withColumn("_copy", one_each).drop("_copy", "_copies", "_chunk", "_row")

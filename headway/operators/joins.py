@@ -23,6 +23,8 @@ WEATHER_FIELDS = (
 # A day of weather is one short row, so this many stay around 20 MB.
 MAX_BROADCAST_DAYS = 100_000
 ROWS_PER_TASK = 2_000_000
+# Pairs of rows that one task should make at most.
+PAIRS_PER_TASK = 200_000_000
 
 
 def hot_keys(
@@ -31,29 +33,41 @@ def hot_keys(
     keys: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
     share: float = 1e-5,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame | None:
     """Keys too large for one task, with the tasks each side of them should get.
 
-    A key is hot on a side when it has more than ``rows_per_task`` rows and
-    more than ``share`` of the rows there, so a side has at most ``1 / share``
-    hot keys, which bounds what a join may broadcast. None when no key is hot.
-    The result is checkpointed so that both sides of a join, and every
-    micro-batch, see the same keys.
+    A key is hot when one side has more than ``rows_per_task`` rows of it, or both make
+    more than ``pairs_per_task`` pairs, and when that is also more than ``share`` of all
+    rows or pairs. So there are at most ``1 / share`` hot keys of each of the three kinds,
+    which bounds what a join may broadcast. The slots of a key leave no task with more rows
+    of a side or more pairs than that. None when no key is hot. The result is checkpointed
+    so that both sides of a join, and every micro-batch, see the same keys.
     """
-    found = []
-    for df, slots, other in (
-        (left, "_left_slots", "_right_slots"),
-        (right, "_right_slots", "_left_slots"),
-    ):
-        present = df.select(*keys).dropna()
-        limit = max(rows_per_task, present.count() * share)
-        counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        hot = counts.filter(F.col("_rows") > limit)
-        tasks = F.ceil(F.col("_rows") / rows_per_task).cast("int")
-        found.append(hot.select(*keys, tasks.alias(slots), F.lit(1).alias(other)))
-    merged = found[0].unionByName(found[1]).groupBy(*keys)
-    slots = merged.agg(
-        F.max("_left_slots").alias("_left_slots"), F.max("_right_slots").alias("_right_slots")
+    keys = list(keys)
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    met = counts(left, "_l").join(counts(right, "_r"), keys)
+    met = durable(met.withColumn("_pairs", F.col("_l").cast("double") * F.col("_r")))
+    totals = met.agg(*(F.sum(c).alias(c) for c in ("_l", "_r", "_pairs"))).first()
+    if totals["_l"] is None:
+        return None
+    limits = {"_l": rows_per_task, "_r": rows_per_task, "_pairs": pairs_per_task}
+    above = {c: F.col(c) > max(limit, totals[c] * share) for c, limit in limits.items()}
+    # slots by rows first; what is missing for the pairs goes to the larger side, then the other
+    by_rows = {
+        c: F.when(above[c], F.ceil(F.col(c) / rows_per_task)).otherwise(F.lit(1)) for c in ("_l", "_r")
+    }
+    more = F.ceil(F.col("_pairs") / (by_rows["_l"] * by_rows["_r"] * F.lit(float(pairs_per_task))))
+    first = F.least(more, F.greatest("_l", "_r"))
+    second = F.ceil(more / first)
+    left_larger = F.col("_l") >= F.col("_r")
+    slots = met.filter(above["_l"] | above["_r"] | above["_pairs"]).select(
+        *keys,
+        (by_rows["_l"] * F.when(left_larger, first).otherwise(second)).cast("int").alias("_left_slots"),
+        (by_rows["_r"] * F.when(left_larger, second).otherwise(first)).cast("int").alias("_right_slots"),
     )
     marked = durable(slots)
     return None if marked.isEmpty() else marked

@@ -54,15 +54,17 @@ def weather_daily(raw: DataFrame) -> DataFrame:
 
 
 def latest_predictions(predictions: DataFrame) -> DataFrame:
-    """The last fetched version of each prediction.
+    """The last fetched version of each prediction, and all rows without an id.
 
-    ``max_by`` keeps one row per prediction and task before the shuffle.
+    ``max_by`` keeps one row per prediction and task before the shuffle. Rows without an id
+    are no versions of each other and do not move.
     """
     row = F.struct(*[F.col(name) for name in predictions.columns])
-    latest = predictions.groupBy(F.col("prediction_id").alias("_id")).agg(
+    known = predictions.filter("prediction_id IS NOT NULL")
+    latest = known.groupBy(F.col("prediction_id").alias("_id")).agg(
         F.max_by(row, F.struct("fetched_at", row)).alias("row")
     )
-    return latest.select("row.*")
+    return latest.select("row.*").unionByName(predictions.filter("prediction_id IS NULL"))
 
 
 def _strata(moment: Column, day: Column) -> Mapping[str, Column]:

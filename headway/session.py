@@ -38,6 +38,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and continue from its files.
+
+    For results that are read more than once: readers take the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there."""
     spark = df.sparkSession

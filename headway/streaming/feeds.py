@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.feeds import Feed
@@ -63,13 +64,14 @@ def append_transit(
     time_zone: str | None = None,
     slots: int | None = None,
     match_service_date: bool = False,
+    schema: T.StructType | None = None,
 ) -> StreamingQuery:
     """New predictions against the schedules and weather known now.
 
     Weather that arrives later does not change rows already appended; a full
     refresh does.
     """
-    arriving = increments(spark, predictions)
+    arriving = increments(spark, predictions, schema)
     rows = staging.transit_performance(
         arriving, schedules, daily, hot, time_zone, match_service_date
     )
@@ -85,13 +87,24 @@ def append_driving(
     daily: DataFrame,
     time_zone: str | None = None,
     slots: int | None = None,
+    schema: T.StructType | None = None,
 ) -> StreamingQuery:
-    rows = staging.driving_performance(increments(spark, driving), daily, time_zone)
+    rows = staging.driving_performance(increments(spark, driving, schema), daily, time_zone)
     return append_dataset(
         rows, store, staging.DRIVING_TABLE, staging.DRIVING_RULES, staging.DRIVING_PARTITION, slots
     )
 
 
+def finish_all(started: Mapping[str, StreamingQuery]) -> dict[str, dict[str, int]]:
+    """Rule counts of queries that run side by side; if one fails, the others are stopped."""
+    try:
+        return {table: finish(query, table) for table, query in started.items()}
+    except Exception:
+        for query in started.values():
+            query.stop()
+        raise
+
+
 def finish(query: StreamingQuery, rules_of: str | None = None) -> dict[str, int]:
     """Wait for a query to end; returns its rule counts summed over micro-batches.
 

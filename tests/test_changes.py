@@ -47,3 +47,19 @@ def test_many_copies_are_emitted_in_chunks(spark, monkeypatch):
 
 def test_no_change(spark):
     assert not _feed(spark, [(1, "a")], [(1, "a")])
+
+
+def test_chunks_of_one_row_go_to_many_tasks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(changes, "COPIES_PER_TASK", 100)
+    old = spark.range(40).selectExpr("CAST(id AS int) AS k", "'v' AS v")
+    copies = spark.range(101).selectExpr("id AS n")
+    new = old.crossJoin(copies).select("k", F.lit("w").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = change_feed(old.limit(0), new, ["k"])
+        loads = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(loads) == 40 * 101 and max(loads) < 0.6 * sum(loads)

@@ -83,3 +83,15 @@ def test_weather_is_the_same_with_and_without_broadcast(spark, limit):
     assert found[30] == ("clear", 2.0)
     assert found[35] == ("clear", None)
     assert found[39] == ("clear", None)
+
+
+def test_keys_are_hot_by_their_pairs(spark):
+    """Few rows on both sides, many pairs: no task gets more of them than asked for."""
+    left = spark.range(120).selectExpr("id % 2 AS k", "id AS a")
+    right = spark.range(90).selectExpr("id % 2 AS k", "id AS b")
+    hot = joins.hot_keys(left, right, ["k"], rows_per_task=1000, pairs_per_task=300)
+    found = {r.k: (r._left_slots, r._right_slots) for r in hot.collect()}
+    assert all(60 / a * 45 / b <= 300 for a, b in found.values()) and len(found) == 2
+    spread = joins.spread_join(left, right, ["k"], hot)
+    assert sorted(spread.collect()) == sorted(left.join(right, "k").collect())
+    assert joins.hot_keys(left, right, ["k"], rows_per_task=1000, pairs_per_task=2700) is None

@@ -17,13 +17,15 @@ def db():
     return check.connection(DATA)
 
 
+#: Queries whose groups are too small for a row at this size.
+MAY_BE_EMPTY: set[str] = set()
 OWN = sorted(registered.queries().keys() - set(registered.LLM_QUERIES))
 
 
 @pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, db, name):
     problem = check.difference(spark, db, name, DATA)
-    assert problem in (None, "no rows"), problem
+    assert problem == ("no rows" if name in MAY_BE_EMPTY else None), problem
 
 
 def test_every_query_has_sql():

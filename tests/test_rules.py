@@ -184,3 +184,12 @@ def test_cell_centres_are_nearest(spark):
         centre_n = int(r) * 1.5 * edge
         centre_e = (int(q) + int(r) / 2) * math.sqrt(3) * edge
         assert math.hypot(north - centre_n, east - centre_e) <= edge * 1.000001
+
+
+def test_rows_without_an_id_are_no_versions_of_each_other(spark):
+    from headway.plans import staging
+
+    rows = [("p", 1), ("p", 2), (None, 1), (None, 1), (None, 2)]
+    frame = spark.createDataFrame(rows, "prediction_id string, fetched_at int")
+    found = sorted(staging.latest_predictions(frame).collect(), key=repr)
+    assert [tuple(r) for r in found] == sorted([("p", 2), (None, 1), (None, 1), (None, 2)], key=repr)

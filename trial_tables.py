@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from headway.feeds import Feed
 from headway.operators.observations import pivot_observations, with_condition
 from headway.plans import staging
-from headway.session import durable
+from headway.session import stored
 
 START = 1704067200  # 2024-01-01 00:00:00 UTC
 SPAN = 40 * 86400  # the schedule runs longer than the weather is known
@@ -125,13 +125,12 @@ def driving(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """Long-form station readings; the station is closed on Wednesdays."""
+    """Long-form station readings."""
     codes = "array('PRCP', 'TMAX', 'TMIN', 'SNOW', 'SNWD', 'AWND', 'WSF2')"
     code = f"{codes}[event_id % 7]"
     k = "(event_id * 5 + user_id)"
     return (
         table(spark, folder, "events")
-        .filter("dayofweek(ts) <> 4")
         .selectExpr(
             "CAST(ts AS date) AS observation_date",
             "event_id AS pos",
@@ -155,22 +154,30 @@ def weather_daily(spark: SparkSession, folder: str) -> DataFrame:
     return staging.weather_daily(weather(spark, folder))
 
 
+def reported(weather_rows: DataFrame) -> DataFrame:
+    """Without Wednesdays, of which nothing is known when trips are joined to their weather."""
+    return weather_rows.filter("dayofweek(observation_date) <> 4")
+
+
 def known_weather(spark: SparkSession, folder: str) -> DataFrame:
     """Daily weather as a stored result, which joins may then size up cheaply."""
-    return durable(weather_daily(spark, folder))
+    return stored(reported(weather_daily(spark, folder)), "weather")
 
 
-def transit(spark: SparkSession, folder: str, **options: object) -> DataFrame:
+def transit(
+    spark: SparkSession, folder: str, known: DataFrame | None = None, **options: object
+) -> DataFrame:
     return staging.transit_performance(
         predictions(spark, folder),
         schedules(spark, folder),
-        known_weather(spark, folder),
+        known_weather(spark, folder) if known is None else known,
         **options,
     )
 
 
-def driven(spark: SparkSession, folder: str) -> DataFrame:
-    return staging.driving_performance(driving(spark, folder), known_weather(spark, folder))
+def driven(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
+    known = known_weather(spark, folder) if known is None else known
+    return staging.driving_performance(driving(spark, folder), known)
 
 
 def as_landed(df: DataFrame, feed: Feed) -> DataFrame:
@@ -247,7 +254,7 @@ SQL = {
             WHEN 'SNWD' THEN (k % 5)::DOUBLE ELSE (k % 40)::DOUBLE END AS value
         FROM (SELECT *, event_id * 5 + user_id AS k,
             (['PRCP', 'TMAX', 'TMIN', 'SNOW', 'SNWD', 'AWND', 'WSF2'])[event_id % 7 + 1]
-            AS datatype FROM events WHERE dayofweek(ts) <> 3)""",
+            AS datatype FROM events)""",
     "weather": f"""SELECT *, CASE WHEN coalesce(snow_inches, 0) > 0 THEN 'snow'
             WHEN coalesce(precipitation_inches, 0) > 0.1::DOUBLE THEN 'rain'
             ELSE 'clear' END AS weather_condition,
@@ -272,6 +279,7 @@ SQL = {
             + CASE WHEN wind_speed_mph > 30 THEN 20 WHEN wind_speed_mph > 15 THEN 10
               ELSE 0 END)::DOUBLE AS weather_severity_score
         FROM weather""",
+    "known_weather": "SELECT * FROM weather_daily WHERE dayofweek(observation_date) <> 3",
 }
 
 
@@ -296,7 +304,7 @@ SQL["transit"] = f"""SELECT
     w.precipitation_inches, w.temp_max_f, w.temp_min_f, w.snow_inches, w.wind_speed_mph,
     w.weather_category_detailed, w.weather_severity_score
     FROM predictions p JOIN schedules s ON p.trip_id = s.trip_id AND p.stop_id = s.stop_id
-    LEFT JOIN weather_daily w ON CAST(s.arrival_time AS DATE) = w.observation_date
+    LEFT JOIN known_weather w ON CAST(s.arrival_time AS DATE) = w.observation_date
     WHERE p.arrival_time IS NOT NULL AND s.arrival_time IS NOT NULL"""
 
 SQL["driven"] = f"""SELECT
@@ -308,7 +316,7 @@ SQL["driven"] = f"""SELECT
         ELSE 0.0::DOUBLE END AS traffic_impact_pct,
     coalesce(w.weather_condition, 'clear') AS weather_condition, w.precipitation_inches,
     w.temp_max_f, w.weather_category_detailed, w.weather_severity_score
-    FROM driving d LEFT JOIN weather_daily w ON d.fetched_date = w.observation_date"""
+    FROM driving d LEFT JOIN known_weather w ON d.fetched_date = w.observation_date"""
 
 
 def fact_sql(
@@ -388,8 +396,9 @@ SQL["modes"] = """SELECT stop_h3_index AS location_h3, route_id, route_long_name
 NEEDS = {
     "weather": ["observations"],
     "weather_daily": ["weather"],
-    "transit": ["predictions", "schedules", "weather_daily"],
-    "driven": ["driving", "weather_daily"],
+    "known_weather": ["weather_daily"],
+    "transit": ["predictions", "schedules", "known_weather"],
+    "driven": ["driving", "known_weather"],
     "transit_fact": ["transit"],
     "driving_fact": ["driven"],
     "modes": ["transit_fact", "driving_fact"],
