@@ -101,11 +101,12 @@ def sharded(docs: DataFrame, shards: int = 16, slack: float = 0.0) -> DataFrame:
         place_cells(counts, shards, slack),
         "at_cell int, first long, end long, shard int, first_slot long",
     )
-    hot = {int(c): int(-(-counts[c] // CHUNK_ROWS)) for c in np.flatnonzero(counts > CHUNK_ROWS)}
+    # at most a row per cell, with the number of chunks of the crowded ones
+    hot = [(int(c), int(-(-counts[c] // CHUNK_ROWS))) for c in np.flatnonzero(counts > CHUNK_ROWS)]
     chunk = F.lit(0).cast("long")
     if hot:
-        chunks = F.create_map(*(F.lit(x) for pair in hot.items() for x in pair))
-        chunk = F.pmod("mark", F.coalesce(F.element_at(chunks, F.col("cell")), F.lit(1)))
+        rows = rows.join(F.broadcast(spark.createDataFrame(hot, "cell int, chunks long")), "cell", "left")
+        chunk = F.pmod("mark", F.coalesce("chunks", F.lit(1).cast("long")))
     rows = rows.withColumn("chunk", chunk)
     in_chunk = Window.partitionBy("cell", "chunk").orderBy("mark")
     before = Window.partitionBy("cell").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
