@@ -11,6 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from headway.functions.keys import row_hash
 
 
+# Files that a micro-batch writes to one partition at most, unless a run asks for others.
+SLOTS = 8
+
+
 def clustered(
     df: DataFrame, cluster_by: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -73,12 +77,12 @@ def append_stream(
 ) -> StreamingQuery:
     """Append everything that is available now to a stored table, then stop.
 
-    A daily increment touches one or two partitions and needs no shuffle. For a
-    backlog of many days, ``slots`` shuffles the rows so that each partition is
-    written by that many tasks instead of by all of them.
+    Rows of a partitioned table are shuffled by partition and slot, so that a micro-batch
+    writes at most ``slots`` files to each partition instead of one from every task. A
+    backlog with very large partitions asks for more slots.
     """
-    if slots is not None and partition_by:
-        df = df.repartition(*partition_by, F.pmod(row_hash(df), F.lit(slots)))
+    if partition_by:
+        df = df.repartition(*partition_by, F.pmod(row_hash(df), F.lit(slots or SLOTS)))
     writer = df.writeStream.format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -10,6 +10,7 @@ from headway import feeds
 from headway.operators import joins
 from headway.operators.joins import hot_keys
 from headway.plans import staging
+from headway.sinks import tables as sink
 from headway.sinks.tables import land, write_table
 from headway.sources import files
 from headway.streaming import feeds as streams
@@ -189,3 +190,16 @@ def test_clustering_spreads_a_hot_value(spark, copies):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) > 1 and sum(sizes) == 20000
+
+
+def test_a_micro_batch_writes_few_files_to_each_partition(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id", "CAST(id % 3 AS int) AS day").repartition(40)
+    rows.write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    for slots in (None, 2):
+        out = tmp_path / f"out-{slots}"
+        sink.append_stream(arriving, str(out), f"{out}-progress", ("day",), slots).awaitTermination()
+        for day in range(3):
+            files = list((out / f"day={day}").glob("*.parquet"))
+            assert 0 < len(files) <= (slots or sink.SLOTS)
+        assert spark.read.parquet(str(out)).count() == 4000
