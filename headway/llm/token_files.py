@@ -79,13 +79,7 @@ class Packing:
 
 def trained(docs: DataFrame, path: str, end_id: int, width: int) -> Packing:
     """A dictionary from a sample of at most ``SAMPLE_DOCUMENTS`` documents, the same in every run."""
-    sample = (
-        docs.select("doc_id", "text")
-        .filter("length(text) > 0")
-        .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-        .select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text"))
-        .limit(SAMPLE_DOCUMENTS)
-    )
+    sample = common.sampled(docs.select("doc_id", "text"), SAMPLE_DOCUMENTS, "doc_id", "text").select("text")
     plain = Packing(width, b"")
 
     def ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +90,8 @@ def trained(docs: DataFrame, path: str, end_id: int, width: int) -> Packing:
                 [pa.array([plain.serialize(x[: 4 * SAMPLE_IDS]) for x in found], pa.binary())], names=["ids"]
             )
 
-    rows = [bytes(r.ids) for r in sample.mapInArrow(ids, "ids binary").limit(SAMPLE_DOCUMENTS).collect()]
+    found = sample.mapInArrow(ids, "ids binary").limit(SAMPLE_DOCUMENTS).collect()
+    rows = [bytes(r.ids) for r in found if r.ids]
     # a dictionary needs a good number of samples; without them documents are compressed plainly
     if len(rows) < 20 or sum(map(len, rows)) < 10 * 1024:
         return plain
@@ -228,6 +223,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """
     packing = stored_packing(spark, folder)
     files = spark.read.parquet(f"{folder}/manifest").select("name", "start")
+    tasks = max(files.count(), 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _place(f"{folder}/files")
@@ -247,7 +243,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 yield _rows(rows)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
-    return files.repartition("name").mapInArrow(run, schema)
+    return files.repartitionByRange(tasks, "name").mapInArrow(run, schema)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
