@@ -156,13 +156,9 @@ class Calibration:
 def learning_rows(labels: DataFrame) -> DataFrame:
     """At most ``LEARN_ROWS`` labelled ids outside the held-out third: (doc_id, toxic, place)."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    order = F.xxhash64("doc_id").alias("place")
-    return (
-        known.groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
-        .select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), order)
-        .orderBy("place", "doc_id")
-        .limit(LEARN_ROWS)
+    each = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return common.sampled(each, LEARN_ROWS, "doc_id").select(
+        "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), F.xxhash64("doc_id").alias("place")
     )
 
 
