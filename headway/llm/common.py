@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.session import scratch_path
+from headway.session import stored  # noqa: F401 - the operators take it from here
 
 #: Rows handed to a Python worker at once. Texts are long, so far fewer than Spark's default.
 BATCH_ROWS = 500
@@ -39,16 +39,6 @@ def prepare(spark: SparkSession) -> None:
         _SENT.add(context.applicationId)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that it is computed once.
-
-    The files outlive the executors that wrote them.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sampled(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """At most ``rows`` rows, those with the least hashes of ``keys``, the same in every run.
 

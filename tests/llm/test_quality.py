@@ -42,13 +42,15 @@ def test_junk_goes_and_prose_stays(spark, texts):
 
 def test_thresholds_follow_their_group(spark):
     """What is usual in one source is an outlier in another; small groups follow their language."""
-    calm = "plain words that follow each other here and there in number {} and {} " * 6
-    loud = calm.replace(" ", " # ")
-    rows = [(i, calm.format(*[i] * 12), "en", "calm") for i in range(300)]
-    rows += [(1000 + i, loud.format(*[i] * 12), "en", "loud") for i in range(300)]
-    rows += [(5000, loud.format(*[1] * 12), "en", "calm"), (5001, calm.format(*[1] * 12), "xx", "tiny")]
-    text = [(i, " ".join(f"{w}{k}" if k % 5 == 0 else w for k, w in enumerate(t.split(" "))), la, s) for i, t, la, s in rows]
-    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(text, "doc_id long, text string, lang string, source string")).collect()}
+
+    def calm(i):
+        return [f"word{1000 + (37 * i + k) % 8999}" for k in range(80)]
+
+    rows = [(i, " ".join(calm(i)), "en", "calm") for i in range(300)]
+    rows += [(1000 + i, " # ".join(calm(i)), "en", "loud") for i in range(300)]
+    rows += [(5000, " # ".join(calm(7)), "en", "calm"), (5001, " ".join(calm(7)), "xx", "tiny")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality(frame).collect()}
     assert got[1001].kept and got[5].kept and got[5001].kept
     assert not got[5000].kept and got[5000].reasons == ["symbol_rate"]
 
