@@ -101,7 +101,15 @@ RESULT = """doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 _NAMES = [c.split()[0] for c in RESULT.split(",")]
 
 
-def with_next(doc_id, text: str, own: Digest, counts_at: int, shared: np.ndarray, following: str, next_digest: Digest) -> tuple:
+def with_next(
+    doc_id: int | None,
+    text: str,
+    own: Digest,
+    counts_at: int,
+    shared: np.ndarray,
+    following: str,
+    next_digest: Digest,
+) -> tuple:
     """The result row of a document and the one that follows it."""
     half = len(text) // 2
     kept = text[: len(text) - half].encode("utf-8")
@@ -183,7 +191,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.column("doc_id").to_pylist(), *map(common.plain_texts, (batch.column("text"), batch.column("next_text")))
+            texts = (common.plain_texts(batch.column(c)) for c in ("text", "next_text"))
+            columns = batch.column("doc_id").to_pylist(), *texts
             out = [with_next(i, t, *split_counts(t), n, digest(n)) for i, t, n in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * len(own), own)], names=_NAMES

@@ -67,7 +67,9 @@ class Rests:
         return self._take((longer & -longer).bit_length() + length) if longer else None
 
 
-def pack(rests: Iterable[tuple[int, int]], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
+def pack(
+    rests: Iterable[tuple[int, int]], tiers: tuple[int, ...] = TIERS
+) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """Windows (tier, pieces) of rests (name, length); a piece is (name, from, length).
 
     Every length is below the longest tier.
@@ -161,8 +163,8 @@ def packed_group(table: pa.Table) -> list[tuple]:
             doc_id, start, doc_tokens, crc, ids = rows[name]
             if ids is not None:
                 crc = zlib.crc32(ids[4 * at : 4 * (at + length)])
-            sequence = (group << 32) + number
-            out.append((doc_id, start + at, length, crc, doc_tokens, sequence, offset, tier, (group << 32) + step))
+            names = (group << 32) + number, offset, tier, (group << 32) + step
+            out.append((doc_id, start + at, length, crc, doc_tokens, *names))
             offset += length
     return out
 

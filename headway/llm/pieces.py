@@ -304,8 +304,9 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 codes.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
                 decoded = coder.vocabulary.decode(ids)
                 texts.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+            hashes = pa.array(codes, pa.string()), pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(codes, pa.string()), pa.array(texts, pa.string())],
+                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), *hashes],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import common, digests, packing, pieces, quality, secret_scan, sharding, simhash, surrogates, token_files, toxicity
+from headway.llm import (
+    common,
+    digests,
+    packing,
+    pieces,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    surrogates,
+    token_files,
+    toxicity,
+)
 from headway.session import scratch_path
 
 

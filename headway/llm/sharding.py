@@ -48,7 +48,9 @@ def bounds(total: int, shards: int, slack: float) -> list[int]:
     return [total // shards + (s < total % shards) for s in range(shards)]
 
 
-def place_cells(counts: np.ndarray, shards: int, slack: float = 0.0, virtual_nodes: int = VIRTUAL_NODES) -> list[tuple[int, int, int, int, int]]:
+def place_cells(
+    counts: np.ndarray, shards: int, slack: float = 0.0, virtual_nodes: int = VIRTUAL_NODES
+) -> list[tuple[int, int, int, int, int]]:
     """Ranges (cell, first rank, end rank, shard, first slot) that hold every document once."""
     places, owners = ring(shards, virtual_nodes)
     room = bounds(int(counts.sum()), shards, slack)
@@ -119,10 +121,8 @@ def sharded(docs: DataFrame, shards: int = 16, slack: float = 0.0) -> DataFrame:
         )
         ranked = ranked.join(offsets, ["cell", "chunk"]).withColumn("rank", F.col("rank") + F.col("ahead"))
     # a range for each cell and, beyond, one for each time that a shard fills up
-    placed = ranked.join(
-        F.broadcast(plan),
-        (F.col("cell") == F.col("at_cell")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")),
-    )
+    inside = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
+    placed = ranked.join(F.broadcast(plan), (F.col("cell") == F.col("at_cell")) & inside)
     return placed.select(
         "doc_id",
         "size",

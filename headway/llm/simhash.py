@@ -115,8 +115,14 @@ def cells(rows: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     )
     large = (
         counted.groupBy("part", "value")
-        .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int")))).alias("tiles"))
-        .filter((F.col("total") > 1))
+        .agg(
+            F.sum("n").alias("total"),
+            # at most an entry for each of 65 population counts
+            F.map_from_entries(
+                F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int")))
+            ).alias("tiles"),
+        )
+        .filter("total > 1")
         .select("part", "value", F.when(F.col("total") > tile, F.col("tiles")).alias("tiles"))
     )
     ones = F.bit_count("fp").cast("int")
@@ -145,14 +151,14 @@ def cells(rows: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
             F.when(own <= t, 0).otherwise(1).alias("side"),
         ),
     )
-    whole = F.array(
-        F.struct(F.lit(0).cast("long").alias("t1"), F.lit(0).cast("long").alias("t2"), F.lit(0).alias("side"))
-    )
+    zero = F.lit(0).cast("long")
+    whole = F.array(F.struct(zero.alias("t1"), zero.alias("t2"), F.lit(0).alias("side")))
+    rest = [c for c in rows.columns if c not in ("part", "value")]
     return (
         rows.join(large, ["part", "value"])
         .withColumn("cell", F.explode(F.when(F.col("tiles").isNull(), whole).otherwise(pairs)))
         .drop("tiles")
-        .select("part", "value", "cell.t1", "cell.t2", "cell.side", *[c for c in rows.columns if c not in ("part", "value")])
+        .select("part", "value", "cell.t1", "cell.t2", "cell.side", *rest)
     )
 
 
@@ -345,10 +351,12 @@ def alike(rows: DataFrame, radius: int, share: float) -> DataFrame:
                         a.append(node[x])
                         b.append(node[y])
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+                )
 
-    dealt = rows.select(*_CELL, "side", "node", "fp", "shingles").repartition(*_CELL).sortWithinPartitions(*_CELL)
-    return dealt.mapInArrow(compare, "a long, b long")
+    dealt = rows.select(*_CELL, "side", "node", "fp", "shingles").repartition(*_CELL)
+    return dealt.sortWithinPartitions(*_CELL).mapInArrow(compare, "a long, b long")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -379,16 +387,19 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     common.prepare(docs.sparkSession)
     names = common.fresh(docs, "words_key", "fp", "least", "row")
     key, fp, least, row = names
-    staged = common.stored(signatures(docs, names[:3]).withColumn(row, F.monotonically_increasing_id()), "signed")
+    signed_docs = signatures(docs, names[:3]).withColumn(row, F.monotonically_increasing_id())
+    staged = common.stored(signed_docs, "signed")
+    place = F.col(f"`{row}`").alias("row")
     rows = staged.select(
         F.col(f"`{key}`").alias("key"),
         F.col(f"`{fp}`").alias("fp"),
         F.col(f"`{least}`").alias("least"),
-        F.col(f"`{row}`").alias("row"),
-        F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(f"`{row}`").alias("row")).alias("rank"),
+        place,
+        F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", place).alias("rank"),
     )
     texts = common.stored(
-        rows.groupBy("key").agg(F.min("rank").alias("rank"), F.first("fp").alias("fp"), F.first("least").alias("least"))
+        rows.groupBy("key")
+        .agg(*(F.min(c).alias(c) if c == "rank" else F.first(c).alias(c) for c in ("rank", "fp", "least")))
         .select(F.col("rank.row").alias("node"), "rank", "fp", "least"),
         "texts",
     )

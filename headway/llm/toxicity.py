@@ -208,7 +208,9 @@ def models(counted: DataFrame) -> list[Model] | None:
     return out
 
 
-def calibrated(best: np.ndarray, tokens: np.ndarray, toxic: np.ndarray, all_scores: list[list[float]]) -> Calibration:
+def calibrated(
+    best: np.ndarray, tokens: np.ndarray, toxic: np.ndarray, all_scores: list[list[float]]
+) -> Calibration:
     """Fit the law to the best segments of harmless texts, then the curve to all."""
     size = np.log(tokens + 1)
     calm = toxic == 0
@@ -250,9 +252,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Calibration] | None:
                 found = [s for _, _, s in segments([by_half[half][w] for w in words])]
                 # the strongest segments; weaker ones are not significant in texts of any length
                 out.append((len(words), sorted(found, reverse=True)[:20]))
+            sizes = pa.array([n for n, _ in out], pa.int64())
+            strongest = pa.array([s for _, s in out], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.list_(pa.float64()))],
-                names=["toxic", "tokens", "scores"],
+                [batch.column("toxic"), sizes, strongest], names=["toxic", "tokens", "scores"]
             )
 
     chosen = rows.orderBy("place", "doc_id").limit(CALIBRATE_ROWS)
@@ -279,7 +282,8 @@ def scored(docs: DataFrame, fitted: tuple[Model, Calibration] | None, text: str,
     """
     place = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("score", pa.float64()), ("p_value", pa.float64())]))
+    fields = {"start": pa.int64(), "length": pa.int64(), "score": pa.float64(), "p_value": pa.float64()}
+    kind = pa.list_(pa.struct(list(fields.items())))
 
     def judge(scores: Scores, law: Calibration, raw: bytes) -> tuple[float, list[dict]]:
         words = raw.split()
@@ -309,7 +313,8 @@ def scored(docs: DataFrame, fitted: tuple[Model, Calibration] | None, text: str,
                 {names[0]: pa.array([s for s, _ in out], pa.float64()), names[1]: pa.array([p for _, p in out], kind)},
             )
 
-    added = f"`{names[0]}` double, `{names[1]}` array<struct<start: long, length: long, score: double, p_value: double>>"
+    segment = "struct<start: long, length: long, score: double, p_value: double>"
+    added = f"`{names[0]}` double, `{names[1]}` array<{segment}>"
     return docs.mapInArrow(run, common.with_fields(docs, added))
 
 
