@@ -99,17 +99,22 @@ def bit_ranges(fingerprint: Column, radius: int) -> Column:
     )
 
 
+def _band(radius: int) -> Column:
+    """Population counts in bands of ``radius + 1``: within the radius, bands differ by one at most."""
+    return F.floor(F.bit_count("fp") / (radius + 1)).cast("int")
+
+
 def cells(rows: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     """Deal rows (node, fp, part, value, ...) to the pairs of tiles in which they are compared.
 
-    A block of at most ``tile`` rows is one tile. A larger one is cut by population count
-    and, within one count, by a hash of the node; a row goes to each pair of its own tile
-    and a tile whose count is within the radius. No pair of rows within the radius is
+    A block of at most ``tile`` rows is one tile. A larger one is cut by bands of population
+    counts and, within a band, by a hash of the node; a row goes to each pair of its own tile
+    and a tile of its band or one beside it. No pair of rows within the radius is
     missed. Returns the rows with ``t1`` and ``t2``, the two tiles, and ``side``: 0 if the
     row is of tile t1, else 1.
     """
     counted = (
-        rows.withColumn("ones", F.bit_count("fp"))
+        rows.withColumn("ones", _band(radius))
         .groupBy("part", "value", "ones")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -125,7 +130,7 @@ def cells(rows: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
         .filter("total > 1")
         .select("part", "value", F.when(F.col("total") > tile, F.col("tiles")).alias("tiles"))
     )
-    ones = F.bit_count("fp").cast("int")
+    ones = _band(radius)
 
     def tile_name(count: Column, slot: Column) -> Column:
         return (count * F.lit(1 << 20) + slot).cast("long")
@@ -135,7 +140,7 @@ def cells(rows: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     others = F.flatten(
         F.transform(
             F.filter(
-                F.sequence(ones - radius, ones + radius),
+                F.sequence(ones - 1, ones + 1),
                 lambda c: F.map_contains_key("tiles", c),
             ),
             lambda c: F.transform(
