@@ -279,15 +279,22 @@ COPY_RADIUS = 20
 #: common with a chance of (1 - s) to this power: 0.00006 at 0.8.
 COPY_BLOCKS = 6
 COPY_TILE = 512
-_MIX = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (1 << 64) - 1 for i in range(COPY_BLOCKS)], dtype=np.uint64)
+#: A full mixing of its own for each block: unrelated seeds before a finaliser.
+_SEEDS = np.array([xxhash.xxh64_intdigest(b"block %d" % i, SEED) for i in range(COPY_BLOCKS)], dtype=np.uint64)
+_FINAL = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
 def least_hashes(hashes: np.ndarray) -> list[int]:
-    """The least of the hashes under each of several mixings, signed."""
+    """The least of the hashes under each of several independent mixings, signed."""
     if not len(hashes):
         return [0] * COPY_BLOCKS
-    mixed = (hashes[None, :] ^ (hashes[None, :] >> np.uint64(29))) * _MIX[:, None]
-    return (mixed ^ (mixed >> np.uint64(32))).min(axis=1).view(np.int64).tolist()
+    out = []
+    for seed in _SEEDS:
+        mixed = hashes ^ seed
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * _FINAL[0]
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * _FINAL[1]
+        out.append((mixed ^ (mixed >> np.uint64(31))).min())
+    return signed(out).tolist()
 
 
 def signatures(docs: DataFrame, names: list[str]) -> DataFrame:

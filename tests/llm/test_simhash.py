@@ -119,3 +119,14 @@ def test_population_counts_never_hide_a_link():
             if bin(int(fp[a] ^ fp[b])).count("1") <= 3 and (not side.any() or side[a] != side[b])
         }
         assert found == wanted
+
+
+def test_least_hashes_are_independent():
+    """Pairs at a share of 0.8 lose all blocks with a chance of 0.2 to the sixth."""
+    rng = np.random.default_rng(4)
+    lost = 0
+    for _ in range(5000):
+        union = rng.integers(0, 2**64, 250, dtype=np.uint64)
+        a, b = (simhash.least_hashes(part) for part in (union[:225], union[25:]))
+        lost += not any(x == y for x, y in zip(a, b))
+    assert lost <= 3
