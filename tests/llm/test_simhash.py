@@ -130,3 +130,38 @@ def test_least_hashes_are_independent():
         a, b = (simhash.least_hashes(part) for part in (union[:225], union[25:]))
         lost += not any(x == y for x, y in zip(a, b))
     assert lost <= 3
+
+
+def test_repeats_do_not_part_near_copies(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(20):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        for k in range(2):  # either repeats another twentieth of the text
+            rows.append((2 * i + k, " ".join(words + words[40 + 200 * k :][:20] * 13)))
+    kept = simhash.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 40, 2))
+
+
+def test_bounds_and_tiles_lose_no_near_copy(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    sets = []
+    for size in (3, 60, 64, 66, 70, 128, 150, 1000, 1030):
+        base = rng.integers(0, 2**64, size, dtype=np.uint64)
+        sets += [base] + [np.unique(np.concatenate([base[k:], base[:1] + np.uint64(k)])) for k in range(1, size // 5 + 1, 1 + size // 60)]
+    sizes, bits = np.array([len(s) for s in sets]), [simhash.parity_bits(s) for s in sets]
+    nodes = np.arange(len(sets))
+    found = {
+        tuple(sorted((x, y)))
+        for x, others in simhash.near_sets(sizes, bits, np.zeros(len(sets)), nodes, 0.8)
+        for y in others.tolist()
+    }
+    for x in nodes.tolist():
+        for y in range(x):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            assert (y, x) in found or both < 0.8 * (sizes[x] + sizes[y] - both)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(words[: 150 - i] + [f"x{i}"])) for i in range(100)]  # a chain of sizes
+    monkeypatch.setattr(simhash, "COPY_TILE", 1000)
+    kept = simhash.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in kept] == [0]
