@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by pattern, false alarms removed by a random forest.
 
-A candidate is a run of characters that keys are written in. Its features are length and
+A candidate is a run of characters that keys are written in, without the name and the
+"=" in front of it. Its features are length and
 kinds of characters, how usual its character transitions are in the corpus, how much of it
 is common words of the corpus, whether it looks like a path, host, number or placeholder,
 and which words and signs stand next to it. Transitions and word counts cover all texts; a
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 from headway.llm import common
 from headway.session import scratch_path
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/=_\-.~]{16,}")
+#: Runs of 16 characters or more; "=" is part of one as padding at its end only.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-.~]{16,}(?:={1,2}(?![A-Za-z0-9+/=_\-.~]))?")
 #: Characters before and behind a candidate that its features look at.
 REACH = 64
 #: Documents sampled for findings, about, and findings learned from, at most.
@@ -66,7 +68,12 @@ QUOTED = re.compile(r"[\"'`]$")
 
 FEATURES = """length entropy digits uppers lowers others hex changes transitions coverage
     longest_word pathlike hostlike at_sign uuid stand_in known_form assigned quoted named other_named
-    word_before distinct""".split()
+    word_before distinct names_value""".split()
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """The spans (start, end) of the candidates of a text, in order."""
+    return [m.span() for m in CANDIDATE.finditer(text)]
 
 
 @dataclass
@@ -117,7 +124,7 @@ def features(text: str, start: int, end: int, known: Corpus) -> list[float]:
     before, behind = text[max(start - REACH, 0) : start], text[end : end + 8]
     n = len(value)
     counts = Counter(value)
-    raw = value.lower().encode("ascii")
+    raw = value.lower().encode("utf-8", "replace")
     kinds = [0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3 for c in value]
     steps = [float(known.transitions[a, b]) for a, b in zip(raw, raw[1:])]
     runs = _RUN.findall(value)
@@ -149,6 +156,7 @@ def features(text: str, start: int, end: int, known: Corpus) -> list[float]:
         float(bool(OTHER_NAMES.search(near))),
         zlib.crc32(last.encode()) % 64 / 64,
         len(counts) / n,
+        float(behind[:1] == "="),
     ]
 
 
@@ -170,7 +178,10 @@ def by_rule(f: list[float]) -> int | None:
 
 
 def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int]]:
-    """Findings (text, start, end, secret) of common forms in common contexts."""
+    """Findings (text, start, end, secret) of common forms in common contexts, with the spans of a scan.
+
+    About ``n`` findings: values that a scan would not see give none.
+    """
     rng = random.Random(seed)
     letters = string.ascii_letters + string.digits
 
@@ -191,6 +202,7 @@ def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int
         lambda: f"eyJ{some(letters, 20)}.{some(letters, 40)}.{some(letters, 40)}",
     ]
     names = ["token", "TOKEN", "api_key", "secret", "password", "Authorization: Bearer", "access-key", "auth"]
+    names += ["SERVICE_AUTH_TOKEN", "aws_secret_access_key", "DATABASE_PASSWORD"]
     holders = ['{0} = "{1}"', "{0}={1}", "{0}: {1}", '"{0}": "{1}"', "{0} '{1}'", '{0}###  =%%% "{1}"$$$', "?{0}={1}&"]
     harmless = [
         (lambda: some("0123456789abcdef", 40), ["commit", "blob", "tree", "revision"]),
@@ -214,8 +226,9 @@ def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int
             value, name = form(), rng.choice(befores)
         lead = " ".join(word() for _ in range(rng.randint(0, 6)))
         text = f"{lead} {rng.choice(holders).format(name, value)} {word()} {word()}"
-        start = text.index(value)
-        out.append((text, start, start + len(value), secret))
+        start = text.index(value, len(lead) + 1)
+        for s, e in candidates(text):
+            out.append((text, s, e, int(secret and s < start + len(value) and start < e)))
     return out
 
 
@@ -270,8 +283,8 @@ def rule_findings(docs: DataFrame, known: Corpus) -> DataFrame:
         for batch in batches:
             rows = []
             for text in common.plain_texts(batch.column("text")):
-                for m in CANDIDATE.finditer(text):
-                    found = features(text, *m.span(), shared.value)
+                for span in candidates(text):
+                    found = features(text, *span, shared.value)
                     if (secret := by_rule(found)) is not None:
                         rows.append((found, secret))
             yield pa.RecordBatch.from_arrays(
@@ -304,7 +317,7 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> tuple[Corpus, For
 
 def findings(texts: list[str], known: Corpus, forest: Forest) -> list[list[tuple[int, int, float]]]:
     """For each text its candidates (start, length, share of trees that call it a secret)."""
-    spans = [[m.span() for m in CANDIDATE.finditer(t)] for t in texts]
+    spans = [candidates(t) for t in texts]
     rows = [features(t, s, e, known) for t, found in zip(texts, spans) for s, e in found]
     shares = forest.share(np.array(rows)).tolist() if rows else []
     out, at = [], 0

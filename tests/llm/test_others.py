@@ -169,6 +169,35 @@ def test_secret_query(spark):
     assert planted and found >= 0.95 * planted and wrong <= 0.05 * planted
 
 
+KEY = "0f1e2d3c4b5a69788796a5b4c3d2e1f0"
+
+
+@pytest.fixture(scope="module")
+def scan(spark, small):
+    from headway.llm import common
+
+    common.prepare(spark)
+    known, forest = secret_scan.fit(spark.read.parquet(f"{small}/documents.parquet"))
+
+    def run(text):
+        return [text[s : s + n] for s, n, p in secret_scan.findings([text], known, forest)[0] if p >= secret_scan.SECRET_FROM]
+
+    return run
+
+
+@pytest.mark.parametrize("form", ["API_KEY={}", "export SERVICE_AUTH_TOKEN={}\n", "see /get?token={}&page=2", "secret={}, more"])
+def test_unspaced_assignments_are_secrets(scan, form):
+    value = "q9XbT4" + KEY[:18] + "LwZ0"
+    for key in (KEY, value, value + "Kd=="):
+        assert scan("some words before " + form.format(key) + " and behind") == [key]
+
+
+def test_training_sees_the_spans_of_a_scan():
+    for text, start, end, _ in secret_scan.made_up(500):
+        assert (start, end) in secret_scan.candidates(text)
+        assert not re.match(r"\w+=[^=]", text[start:end])
+
+
 @pytest.fixture(scope="module")
 def stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
