@@ -1,7 +1,7 @@
 """Secrets in texts: candidates by pattern, false alarms removed by a random forest.
 
-A candidate is a run of characters that keys are written in, without the name and the
-"=" in front of it. Its features are length and
+A candidate is a run of characters that keys are written in, or the whole value behind a key
+name and an assignment. A name and the sign behind it are never part of it. Its features are length and
 kinds of characters, how usual its character transitions are in the corpus, how much of it
 is common words of the corpus, whether it looks like a path, host, number or placeholder,
 and which words and signs stand next to it. Transitions and word counts cover all texts; a
@@ -23,6 +23,7 @@ import random
 import re
 import string
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -61,6 +62,13 @@ STAND_INS = re.compile(r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]
 KNOWN_FORMS = re.compile(
     r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"
 )
+#: Values from 8 characters on behind a key name and an assignment: quoted, or up to white
+#: space, a quote or the next name of a list.
+NAMED_VALUE = re.compile(
+    r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth(?!or)|credential|bearer|client[_-]?key|signature)"
+    r"[\w-]{0,32}[\"'`]?[ \t]{0,8}(?::=|=>|[=:])[ \t]{0,8}"
+    r"(?:\"([^\"\n]{8,1024})\"|'([^'\n]{8,1024})'|`([^`\n]{8,1024})`|[\"'`]?((?:(?![&;,][\w.-]+[=:])[^\s\"'`]){8,}))"
+)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 HOST = re.compile(r"(?i)([a-z0-9-]+\.)+(com|org|net|io|dev|edu|gov|html?|js|py|md|txt|json|jpe?g|png|pdf)\b")
 ASSIGNED = re.compile(r"[=:]>?[^\w\s\"']{0,3}\s*[\"'`]?$")
@@ -72,8 +80,34 @@ FEATURES = """length entropy digits uppers lowers others hex changes transitions
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """The spans (start, end) of the candidates of a text, in order."""
-    return [m.span() for m in CANDIDATE.finditer(text)]
+    """The spans (start, end) of the candidates of a text, in order, none over another.
+
+    A run inside a named value is part of it, but a quoted value with white space gives way
+    to the runs in it.
+    """
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    named = []
+    for m in NAMED_VALUE.finditer(text):
+        start, end = m.span(m.lastindex)
+        if m.lastindex == 4:
+            end = start + len(m[4].rstrip(".,;:)]}>&"))
+        spaced = any(c.isspace() for c in text[start:end])
+        if end - start >= 8 and not (spaced and any(s < end and start < e for s, e in _about(runs, start, end))):
+            named.append((start, end))
+    if not named:
+        return runs
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(runs + named):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _about(runs: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """The runs that may meet the span from ``start`` to ``end``."""
+    return runs[max(bisect_left(runs, (start, start)) - 1, 0) : bisect_left(runs, (end, end))]
 
 
 @dataclass
@@ -168,11 +202,16 @@ def by_rule(f: list[float]) -> int | None:
     get = lambda name: f[_AT[name]]
     if get("stand_in") or get("hostlike") or get("uuid") or get("at_sign"):
         return 0
-    if get("digits") in (0.0, 1.0) or get("coverage") > 0.6 or get("entropy") < 2.5:
+    if get("coverage") > 0.6 or get("entropy") < 2.5:
         return 0
+    held = get("assigned") and get("named")
+    # letters in words' cases and bare numbers may still be keys behind a key name
+    plain = get("digits") == 1.0 or (get("digits") == 0.0 and get("changes") < 0.2)
+    if plain:
+        return None if held and not get("names_value") else 0
     if get("known_form"):
         return 1
-    if get("assigned") and get("named") and not get("pathlike") and get("length") >= 20 and get("entropy") >= 3:
+    if held and not get("pathlike") and get("length") >= 20 and get("entropy") >= 3:
         return 1
     return 0 if get("other_named") and not get("named") else None
 
@@ -196,6 +235,9 @@ def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int
         lambda: some("0123456789ABCDEF", rng.choice([32, 40, 64])),
         lambda: some(letters, rng.randint(20, 64)),
         lambda: some(letters + "+/", rng.choice([40, 44, 64])) + rng.choice(["", "="]),
+        lambda: some(string.ascii_letters, rng.randint(20, 48)),
+        lambda: some(rng.choice([string.ascii_lowercase, string.ascii_uppercase]), rng.randint(20, 40)),
+        lambda: some(letters + "!@#$%^*", rng.randint(8, 24)),
         lambda: "AKIA" + some(string.ascii_uppercase + string.digits, 16),
         lambda: "ghp_" + some(letters, 36),
         lambda: "sk_live_" + some(letters, 24),
@@ -215,6 +257,9 @@ def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int
         (lambda: rng.choice(["xxxxxxxxxxxxxxxxxxxx", "your_api_key_goes_here", "changeme_changeme_1", "example-token-0001"]), names),
         (lambda: "_".join(word() for _ in range(rng.randint(4, 8))).ljust(16, "a"), ["def", "let", "token", "import"]),
         (lambda: "=" * rng.randint(16, 40), ["", "title"]),
+        (lambda: "".join(word() for _ in range(4))[:14].ljust(8, "a"), names),
+        (lambda: rng.choice(".|_|->|::".split("|")).join(word() for _ in range(3)) + rng.choice(["", "()"]), names),
+        (lambda: " ".join(word() for _ in range(rng.randint(3, 6))), names),
     ]
     out = []
     for i in range(n):

@@ -198,6 +198,20 @@ def test_training_sees_the_spans_of_a_scan():
         assert not re.match(r"\w+=[^=]", text[start:end])
 
 
+@pytest.mark.parametrize("value", ["Tr0ub4#dor", "hx7$Qm!2zP", "pK4!vR9@wL2#sT8%"])
+def test_short_and_broken_passwords_are_candidates(scan, value):
+    for form in ("password = \"{}\"", "DB_PASSWORD={}", "pwd: '{}'"):
+        text = "set " + form.format(value) + " there"
+        assert [text[s:e] for s, e in secret_scan.candidates(text)] == [value]
+        assert scan(text) == [value]
+
+
+def test_keys_of_letters_are_not_ruled_out(scan):
+    key = "qXwZbTkLmVnRpYsDfGhJcQeUaWoI"
+    assert scan(f"token = \"{key}\"") == [key]
+    assert scan("the token: a word, password: required by everyone") == []
+
+
 @pytest.fixture(scope="module")
 def stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
