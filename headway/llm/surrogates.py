@@ -1,12 +1,12 @@
 """Personal data replaced by keyed surrogates of the same kind, with DataFrame functions only.
 
 One pattern finds e-mail addresses, phone, card and social-security numbers, IBANs, IP
-addresses and names behind a title. An entity is the kind and normal form of what was
-found: an address in lower case, the digits of a number, a given name with its gender, or
-a surname. Its surrogate is a function of a secret key, the kind, the normal form and a
+addresses of both kinds and names behind a title. An entity is the kind and normal form of
+what was found: an address in lower case, the digits of a number, a given name with its
+gender, initials, or a surname. Its surrogate is a function of a secret key, the kind, the normal form and a
 number of attempts, so mentions of one entity agree in every document, however they are
 written. Surrogates keep the format: digits, letters, case, separators, country codes,
-check digits, script and gender.
+check digits, script and gender; initials become other initials.
 
 Collision check: over all distinct entities of the table, surrogates that are equal to each
 other or to an entity of the table are tried again until all differ. Hardly any need a
@@ -19,6 +19,8 @@ as it is; repeated rows get equal results; an empty table gives no rows.
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,19 +49,31 @@ GIVEN_CYRILLIC = {
 }
 SURNAMES_CYRILLIC = ["Белов", "Волков", "Громов", "Зайцев", "Котов", "Лебедев", "Морозов", "Орлов", "Соколов", "Титов"]
 
+#: Alphabets that initials are taken from.
+ALPHABETS = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞŁŚŠŽ", "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"]
+
 _LEFT, _RIGHT = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _TITLE = "|".join(t for g in "mfx" for t in TITLES[g])
+#: A word of a name may have capitals inside, as McDonald, O'Brien or SMITH, but no genitive.
+_PART = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?!S(?!\p{L}))(?=\p{Lu}))+"
+_WORD = rf"{_PART}(?:-{_PART})*(?!\p{{L}})"
+_INITIALS = rf"(?:[{''.join(ALPHABETS)}]\.)+"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: What each kind looks like, the more special first.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,4}\.[A-Za-z]{2,24}",
     "iban": _LEFT + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _RIGHT,
+    # slices as 1::2 are none
+    "ip6": r"(?<![\p{L}\p{N}:.])(?=[0-9A-Fa-f]{3,4}:|(?:[0-9A-Fa-f]{0,4}:){3})(?=[A-Fa-f:]*[0-9])"
+    rf"(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{2,7}}:|::(?:{_HEX}:){{1,6}}{_HEX})"
+    r"(?![\p{L}\p{N}:]|\.[0-9])",
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     "phone": r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-    r"|(?<![\p{L}\p{N}-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
+    r"|(?<![\p{L}\p{N}-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": _LEFT + r"(?:[0-9]{4}[ -]){3}[0-9]{4}" + _RIGHT + "|" + _LEFT + r"[0-9]{13,19}" + _RIGHT,
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}+(?:-\p{{Lu}}\p{{Ll}}+)?(?: \p{{Lu}}\p{{Ll}}+(?:-\p{{Lu}}\p{{Ll}}+)?)?",
+    "card": _LEFT + r"(?:(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + _RIGHT + "|" + _LEFT + r"[0-9]{13,19}" + _RIGHT,
+    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? (?:{_INITIALS} ?){{0,4}}{_WORD}(?: (?:{_INITIALS} ?){{0,4}}{_WORD})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these need no search.
@@ -87,6 +101,33 @@ def _gender(title: Column) -> Column:
     return F.when(bare.isin(TITLES["m"]), "m").when(bare.isin(TITLES["f"]), "f").otherwise("x")
 
 
+_NAME_PART = f"{_INITIALS}|{_WORD}"
+
+
+def _name(found: Column) -> Column:
+    """A name without its title."""
+    return F.substring(found, F.length(_title(found)) + 1, F.lit(1 << 20))
+
+
+def _name_parts(found: Column) -> Column:
+    """Initials and words of a name."""
+    return F.regexp_extract_all(_name(found), F.lit(_NAME_PART), F.lit(0))
+
+
+def _groups(address: Column) -> tuple[Column, Column]:
+    """The groups of an IPv6 address before and behind its double colon."""
+    halves = F.split(address, "::")
+    split = lambda half: F.filter(F.split(half, ":"), lambda g: g != "")
+    return split(F.element_at(halves, 1)), split(F.when(F.size(halves) > 1, F.element_at(halves, -1)).otherwise(""))
+
+
+def _full_address(address: Column) -> Column:
+    """All groups of an IPv6 address, of four digits."""
+    left, right = _groups(F.lower(address))
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right))
+    return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
+
+
 def _entities(kind: Column, found: Column) -> Column:
     """The entities of a mention: kind, and normal form."""
 
@@ -94,18 +135,25 @@ def _entities(kind: Column, found: Column) -> Column:
         return F.struct((F.lit(name) if isinstance(name, str) else name).alias("kind"), value.alias("value"))
 
     code = F.regexp_extract(found, r"^\+([0-9]{1,3})(?=[ (.-])", 1)
-    words = F.split(F.substring(found, F.length(_title(found)) + 1, F.lit(1 << 20)), " ")
+    parts = _name_parts(found)
     script = lambda w: F.when(w.rlike(r"\p{IsCyrillic}"), F.lit("_cyrillic")).otherwise(F.lit(""))
-    last, first = F.element_at(words, -1), F.element_at(words, 1)
-    ending = F.when(last.rlike(r"\p{IsCyrillic}а$"), F.lit("_f")).otherwise(F.lit(""))
+    last = F.element_at(parts, -1)
+    ending = F.when(last.rlike(r"(?iu)\p{IsCyrillic}а$"), F.lit("_f")).otherwise(F.lit(""))
     surname = entity(F.concat(F.lit("surname"), script(last), ending), F.lower(last))
-    given = entity(F.concat(F.lit("given_"), _gender(_title(found)), script(first)), F.lower(first))
+    gender = _gender(_title(found))
+    given = F.transform(
+        F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))),
+        lambda w: F.when(w.rlike(f"^{_INITIALS}$"), entity("given_initial", w)).otherwise(
+            entity(F.concat(F.lit("given_"), gender, script(w)), F.lower(w))
+        ),
+    )
     return (
-        F.when(kind == "name", F.when(F.size(words) > 1, F.array(given, surname)).otherwise(F.array(surname)))
+        F.when(kind == "name", F.concat(given, F.array(surname)))
         .when(kind == "email", F.array(entity("email", F.lower(found))))
         .when(kind == "phone", F.array(entity("phone", F.concat(code, F.lit("|"), _digits(found)))))
         .when(kind == "iban", F.array(entity("iban", F.regexp_replace(found, " ", ""))))
         .when(kind == "ip", F.array(entity("ip", found)))
+        .when(kind == "ip6", F.array(entity("ip6", _full_address(found))))
         .otherwise(F.array(entity(kind, _digits(found))))
     )
 
@@ -172,6 +220,22 @@ def _chosen(names: list[str], seed: Column, attempt: Column) -> Column:
     return F.array_join(parts, "-")
 
 
+def _iban_rest(iban: Column) -> Column:
+    """The remainder by 97 of an IBAN as a number; 1 if its check digits are right."""
+    turned = F.concat(F.substring(iban, F.lit(5), F.lit(1 << 20)), F.substring(iban, 1, 4))
+    values = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(turned), F.lit(1))),
+        lambda i: F.position(F.substring(turned, i, F.lit(1)), F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")) - 1,
+    )
+    return F.aggregate(values, F.lit(0), lambda a, v: F.pmod(a * F.when(v > 9, 100).otherwise(10) + v, F.lit(97)))
+
+
+def _other_initials(key: str, value: Column) -> Column:
+    """Every letter replaced by the next of its alphabet in an order that depends on the key."""
+    mixed = [random.Random(f"{key}\x1f{a}").sample(a, len(a)) for a in ALPHABETS]
+    return F.translate(value, "".join(c for m in mixed for c in m), "".join(c for m in mixed for c in m[1:] + m[:1]))
+
+
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """The normal form of the surrogate of an entity."""
     base = F.concat_ws("\x1f", F.lit(key), kind, value, attempt.cast("string"))
@@ -196,13 +260,30 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     ip = F.array_join(
         F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (F.pmod(_random(seed, i), F.lit(254)) + 1).cast("string")), "."
     )
-    iban = F.concat(F.substring(value, 1, 2), _like(F.substring(value, F.lit(3), F.lit(1 << 20)), seed))
+    account = _like(F.substring(value, F.lit(5), F.lit(1 << 20)), seed)
+    country = F.substring(value, 1, 2)
+    checks = F.lpad((F.lit(98) - _iban_rest(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
+    iban = F.when(_iban_rest(value) == 1, F.concat(country, checks, account)).otherwise(
+        F.concat(country, _like(F.substring(value, F.lit(3), F.lit(1 << 20)), seed))
+    )
+    # groups of zeros stay, as they may be left out
+    ip6 = F.array_join(
+        F.transform(
+            F.split(value, ":"),
+            lambda g, i: F.when(g == "0000", g).otherwise(
+                F.concat(F.translate(F.substring(seed, i * 4 + 1, F.lit(1)), "0", "1"), F.substring(seed, i * 4 + 2, F.lit(3)))
+            ),
+        ),
+        ":",
+    )
     out = (
         F.when(kind == "email", email)
         .when(kind == "phone", phone)
         .when(kind == "card", card)
         .when(kind == "ip", ip)
+        .when(kind == "ip6", ip6)
         .when(kind == "iban", iban)
+        .when(kind == "given_initial", _other_initials(key, value))
         .when(kind == "surname", _chosen(SURNAMES, seed, attempt))
         .when(kind == "surname_cyrillic", _chosen(SURNAMES_CYRILLIC, seed, attempt))
         .when(kind == "surname_cyrillic_f", F.concat(_chosen(SURNAMES_CYRILLIC, seed, attempt), F.lit("а")))
@@ -223,8 +304,16 @@ def _in_format(kind: Column, original: Column, normal: Column) -> Column:
     letter = lambda i: F.length(F.regexp_replace(F.substring(original, F.lit(1), i), " ", ""))
     grouped = _each(original, lambda c, i: F.when(c == " ", c).otherwise(F.substring(normal, letter(i), F.lit(1))))
     shouted = (F.upper(original) == original) & (F.lower(original) != original)
+    left, right = _groups(original)
+    groups = F.transform(F.split(normal, ":"), lambda g: F.when(g == "0000", F.lit("0")).otherwise(g))
+    behind = F.slice(groups, F.size(groups) - F.size(right) + 1, F.size(right))
+    address = F.when(
+        original.contains("::"),
+        F.concat(F.array_join(F.slice(groups, F.lit(1), F.size(left)), ":"), F.lit("::"), F.array_join(behind, ":")),
+    ).otherwise(F.array_join(groups, ":"))
     return (
         F.when(kind == "email", F.when(shouted, F.upper(normal)).otherwise(normal))
+        .when(kind == "ip6", F.when(shouted, F.upper(address)).otherwise(address))
         .when(kind == "ip", normal)
         .when(kind == "iban", grouped)
         .otherwise(spaced)
@@ -238,7 +327,13 @@ def replaced(text: Column, found: Column, key: str, attempt) -> Column:
         normal = F.transform(
             m["entities"], lambda e: surrogate(key, e["kind"], e["value"], attempt(e))
         )
-        name = F.concat(_title(m["original"]), F.array_join(normal, " "))
+        cased = F.zip_with(
+            normal, _name_parts(m["original"]), lambda n, w: F.when(F.upper(w) == w, F.upper(n)).otherwise(n)
+        )
+        gaps = F.split(_name(m["original"]), _NAME_PART, -1)
+        name = F.concat(
+            _title(m["original"]), F.array_join(F.zip_with(cased, gaps, lambda n, gap: F.concat(gap, n)), "")
+        )
         return F.when(m["kind"] == "name", name).otherwise(
             _in_format(m["kind"], m["original"], F.element_at(normal, 1))
         )

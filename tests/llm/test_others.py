@@ -123,6 +123,37 @@ def test_surrogates_keep_kind_and_agree(spark):
     assert all(r.text != got[r.doc_id] for r in other if r.doc_id not in (4,))
 
 
+NAMED = [
+    (1, "Mr McDonald saw Mr McKenzie, Dr MacArthur and Dr John McCarthy; Mr O'Brien, Mrs D’Angelo-Smith left."),
+    (2, "Mr SMITH is Mr Smith, Mr Smith's and Mr J. Smith; Mr K.R. Smith, Dr John Q. Public. Mr J.Doe"),
+    (3, "2001:db8::1f is 2001:0DB8:0:0:0:0:0:1F, not fe80::aa00:2; a[1::2] at 12:30:45 std::abs"),
+    (4, "3782 822463 10005 or 555 123 4567; GB82 WEST 1234 5698 7654 32 and DE44500105175407324931"),
+]
+
+
+def test_surrogates_of_further_forms(spark):
+    frame = spark.createDataFrame(NAMED, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymised(frame).collect()}
+    for value in "Donald Kenzie Arthur Carthy Brien Angelo SMITH Smith Public Doe db8 DB8 fe80 3782 822463 4567 WEST 5698 324931".split():
+        assert all(value not in t for t in got.values()), (value, got)
+    word = "([A-Z][a-z-]+[A-Za-z-]*)"
+    names = re.fullmatch(f"Mr {word} saw Mr {word}, Dr {word} and Dr {word} {word}; Mr {word}, Mrs {word} left.", got[1])
+    assert names and len(set(names.groups())) == 7
+    upper, same, again, j, fourth, k, r = re.search(
+        f"Mr ([A-Z-]+) is Mr {word}, Mr {word}'s and Mr ([A-Z])\\. {word}; Mr ([A-Z])\\.([A-Z])\\. ", got[2]
+    ).groups()
+    assert upper == same.upper() and same == again == fourth and len({j, k, r}) == 3 and (j, k, r) != ("J", "K", "R")
+    first, full, other = re.match(r"(\S+) is (\S+), not (\S+); a\[1::2\] at 12:30:45 std::abs$", got[3]).groups()
+    import ipaddress
+
+    assert ipaddress.ip_address(first) == ipaddress.ip_address(full) != ipaddress.ip_address(other)
+    card, phone, british, german = re.match(
+        r"(\d{4} \d{6} \d{5}) or (\d{3} \d{3} \d{4}); (GB\d\d [A-Z]{4}(?: \d{4}){3} \d\d) and (DE\d{20})$", got[4]
+    ).groups()
+    for iban in (british.replace(" ", ""), german):
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
 def test_surrogates_stay_distinct(spark):
     """More surnames than the list has: the clashes are tried again until all differ."""
     rows = [(i, f"Dr Zed{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} said") for i in range(1500)]
