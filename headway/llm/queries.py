@@ -6,17 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import (
+    collocations,
     common,
     digests,
     packing,
     pieces,
     quality,
+    repeats,
     secret_scan,
     sharding,
     simhash,
     surrogates,
     token_files,
     toxicity,
+    vector_codes,
 )
 from headway.session import scratch_path
 
@@ -66,6 +69,18 @@ def op10_quartile_digests(spark: SparkSession, folder: str) -> DataFrame:
     return digests.fingerprints(common.documents(spark, folder))
 
 
+def op11_dynamic_itemsets(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(common.documents(spark, folder))
+
+
+def op12_previous_factors(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_report(common.documents(spark, folder))
+
+
+def op13_limb_gemm(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compressed(common.documents(spark, folder, "embeddings"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -79,6 +94,13 @@ QUERIES = {
         op8_quality_rules,
         op9_keyed_surrogates,
         op10_quartile_digests,
+        op11_dynamic_itemsets,
+        op12_previous_factors,
+        op13_limb_gemm,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_dynamic_itemsets": collocations.sql(),
+    "op12_previous_factors": repeats.sql(),
+    "op13_limb_gemm": vector_codes.sql(),
+}
