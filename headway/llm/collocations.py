@@ -13,8 +13,10 @@ by a colliding hash is counted like the others and does not reach the threshold,
 bit is never cleared, so none that belongs is left out. To count once, a scan leaves out
 what the bit fields of one cycle ago let in: that has seen this shard already.
 
-Counts are kept per language and phrase text and combined before they are shuffled. After
-its full cycle a phrase below the threshold is forgotten.
+Counts are kept per language and phrase text and combined before they are shuffled. What
+reaches the threshold over all shards has at least its share of it in one shard. Only
+phrases with such a share are added up from scan to scan; the many others stay in the
+tables of their scans and are looked up there if a later scan of their cycle finds the share.
 
 Defined results: a null text counts as empty, a null language as ``und``; the empty language
 is one of its own; repeated rows count each; ids are not used, so null ones do no harm; no
@@ -45,7 +47,9 @@ LONGEST = 5
 #: Bytes of text whose phrases are counted at once.
 AT_ONCE = 1 << 20
 #: Bits of a field per phrase that it holds, and its least and largest size as powers of two.
-SPARE, LEAST_BITS, MOST_BITS = 16, 20, 27
+SPARE, LEAST_BITS, MOST_BITS = 64, 20, 27
+#: Phrases of some 30 bytes that may be broadcast.
+MOST_BROADCAST = 300_000
 
 _BLANK, _END = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -280,10 +284,13 @@ def phrase_counts(docs: DataFrame, least: int, shards: int) -> DataFrame:
     docs.select("lang", "text", place).write.partitionBy("shard").parquet(folder)
     dealt = spark.read.schema("lang string, text string, shard int").parquet(folder)
 
-    state: DataFrame | None = None
+    # a phrase with `least` in all shards has a share of it in one of them at least
+    share = -(-least // shards)
+    state = spark.createDataFrame([], COUNTED)
+    scans: dict[int, DataFrame] = {}
     history: deque[list[Field]] = deque(maxlen=shards + 1)
     now = [NOTHING] * (LONGEST + 1)
-    step = idle = 0
+    step = idle = held = 0
     while idle < shards:
         history.append(now)
         then = history[0] if step >= shards else None
@@ -294,21 +301,35 @@ def phrase_counts(docs: DataFrame, least: int, shards: int) -> DataFrame:
                 sizes.append(size)
         if sizes:
             shard = dealt.filter(F.col("shard") == step % shards)
-            rows = _scan(shard, sizes, now, then).withColumn("since", F.lit(step))
-            if state is not None:
-                rows = rows.unionByName(state)
-            merged = rows.groupBy("lang", "size", "phrase").agg(
-                F.sum("n").alias("n"), F.min("since").alias("since")
-            )
-            # a phrase first met at step s is through with its cycle after step s + shards - 1
-            open_still = F.col("since") + shards - 1 > step
-            state = common.stored(
-                merged.filter((F.col("n") >= least) | (F.col("size") == 0) | open_still), "phrases"
-            )
-            now = _merged(now, _fields(state.filter((F.col("n") >= least) & F.col("size").between(1, LONGEST - 1))))
+            scans[step] = common.stored(_added(_scan(shard, sizes, now, then)), "scans")
+            heavy = scans[step].filter((F.col("n") >= share) | (F.col("size") == 0)).select(*_KEY)
+            new = common.stored(heavy.join(state, _KEY, "left_anti"), "phrases")
+            # counts of a phrase that is heavy now for the first time are in the scans of its cycle
+            found = new.count()
+            held += found
+            rows = [_only(scan, new, found) for s, scan in scans.items() if s < step and found]
+            rows.append(_only(scans[step], state.select(*_KEY).unionByName(new), held))
+            for part in rows:
+                state = state.unionByName(part)
+            state = common.stored(_added(state), "phrases")
+            often = state.filter((F.col("n") >= least) & F.col("size").between(1, LONGEST - 1))
+            now = _merged(now, _fields(often))
+        scans.pop(step - shards + 1, None)
         idle = idle + 1 if not sizes else 0
         step += 1
-    return state.filter((F.col("n") >= least) | (F.col("size") == 0)).drop("since")
+    return state.filter((F.col("n") >= least) | (F.col("size") == 0))
+
+
+_KEY = ["lang", "size", "phrase"]
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*_KEY).agg(F.sum("n").alias("n"))
+
+
+def _only(rows: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """The rows of the phrases in ``keys``, which are broadcast if these are few enough."""
+    return rows.join(F.broadcast(keys) if n <= MOST_BROADCAST else keys, _KEY, "left_semi")
 
 
 def _phrase(words: str, start, length):

@@ -63,9 +63,9 @@ def some_rows(seed, n=400):
     return rows + [("en", None), (None, "")] + [rows[0]] * 3
 
 
-@pytest.mark.parametrize("shards", [1, 3])
-@pytest.mark.parametrize("least, top", [(5, 2000), (3, 7)])
-def test_phrases_equal_brute_force(spark, shards, least, top):
+@pytest.mark.parametrize("shards, least, top, most", [(1, 5, 2000, 300_000), (3, 3, 7, 0)])
+def test_phrases_equal_brute_force(spark, monkeypatch, shards, least, top, most):
+    monkeypatch.setattr(collocations, "MOST_BROADCAST", most)
     rows = some_rows(least)
     df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     found = collocations.collocations(df, least=least, top=top, shards=shards)
