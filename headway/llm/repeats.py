@@ -433,7 +433,9 @@ def repeated_ranges(docs: DataFrame, size: int, keep: str) -> DataFrame:
     runs = docs.select("unit", "doc_id", "text").mapInArrow(
         lambda batches: _runs(batches, size, gram), RUN
     )
+    # stored, because a join whose side ends in an aggregate is not split where a key is hot
     often = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram")
+    often = common.stored(often, "repeats")
     repeated = common.stored(runs.join(often, "gram", "left_semi"), "repeats")
     kinds = common.stored(
         repeated.groupBy("gram", "span").agg(
@@ -445,6 +447,7 @@ def repeated_ranges(docs: DataFrame, size: int, keep: str) -> DataFrame:
         "repeats",
     )
     sizes = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    sizes = common.stored(sizes, "repeats")
     node = F.unhex(F.lpad(F.hex("gram"), 16, "0"))
     wanted = (
         kinds.join(sizes, "gram")
