@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.keys import row_hash
+from headway.streaming.counts import KEPT_REPORTS
 
 
+_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
 # Files that a micro-batch writes to one partition at most, unless a run asks for others.
 SLOTS = 8
 
@@ -86,8 +88,15 @@ def append_stream(
     writer = df.writeStream.format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return (
-        writer.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    # the reports of micro-batches carry the rule counts; a query takes this number as it starts
+    conf = df.sparkSession.conf
+    kept = conf.get(_REPORTS)
+    conf.set(_REPORTS, max(int(kept), KEPT_REPORTS))
+    try:
+        return (
+            writer.option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+    finally:
+        conf.set(_REPORTS, kept)

@@ -14,6 +14,7 @@ from headway.operators.expectations import Expectation, counted
 from headway.plans import staging
 from headway.sinks.tables import append_stream
 from headway.sources.files import BYTES_PER_BATCH, increments, raw_stream
+from headway.streaming.counts import RunCounts, watched
 
 
 @dataclass(frozen=True)
@@ -95,37 +96,13 @@ def append_driving(
     )
 
 
-def finish_all(started: Mapping[str, StreamingQuery]) -> dict[str, dict[str, int]]:
+def finish_all(
+    started: Mapping[str, StreamingQuery], filed: RunCounts | None = None
+) -> dict[str, dict[str, int]]:
     """Rule counts of queries that run side by side; if one fails, the others are stopped."""
-    try:
-        return {table: finish(query, table) for table, query in started.items()}
-    except Exception:
-        for query in started.values():
-            query.stop()
-        raise
+    return watched(started, filed)
 
 
 def finish(query: StreamingQuery, rules_of: str | None = None) -> dict[str, int]:
-    """Wait for a query to end; returns its rule counts summed over micro-batches.
-
-    Progress is read while the query runs, because Spark keeps only the most
-    recent entries.
-    """
-    seen: dict[int, dict[str, int]] = {}
-
-    def note() -> None:
-        for progress in query.recentProgress:
-            counts = (progress["observedMetrics"] or {}).get(f"{rules_of}_rules")
-            if counts is not None:
-                seen[progress["batchId"]] = (
-                    counts.asDict() if hasattr(counts, "asDict") else dict(counts)
-                )
-
-    while not query.awaitTermination(1):
-        note()
-    note()
-    totals: dict[str, int] = {}
-    for counts in seen.values():
-        for name, count in counts.items():
-            totals[name] = totals.get(name, 0) + count
-    return totals
+    """Wait for a query to end; returns its rule counts summed over micro-batches."""
+    return watched({rules_of: query})[rules_of]
