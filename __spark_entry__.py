@@ -16,8 +16,8 @@ import trial_tables as t  # noqa: E402
 from headway import feeds  # noqa: E402
 from headway.functions import cells, clock, keys, weather  # noqa: E402
 from headway.functions.labels import first_match  # noqa: E402
-from headway.operators import changes, comparison, expectations, joins, reliability  # noqa: E402
-from headway.plans import daily, reports, staging  # noqa: E402
+from headway.operators import changes, comparison, expectations, joins, observations, reliability  # noqa: E402
+from headway.plans import daily, landing as payload_landing, reports, staging  # noqa: E402
 from headway.session import durable, scratch_path, stored, tune  # noqa: E402
 from headway.sinks import tables as sink  # noqa: E402
 from headway.sources import files, payloads, routes  # noqa: E402
@@ -1233,6 +1233,119 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {comparison.COMPARISON_TABLE}")
 
 
+def _payload_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The trial tables as payload files: a document per day and 10,000 orders, one damaged."""
+    root = scratch_path(spark, "payloads")
+    day = {"mbta_predictions": "fetched_date", "mbta_schedules": "schedule_date"}
+    own = {
+        "mbta_predictions": """arrival_time, departure_time, direction_id, schedule_relationship, status""",
+        "mbta_schedules": """arrival_time, departure_time, direction_id, drop_off_type, pickup_type,
+            stop_sequence, timepoint""",
+    }
+    rows = {"mbta_predictions": t.predictions, "mbta_schedules": t.schedules}
+    for source, make in rows.items():
+        feed = feeds.FEEDS[source]
+        key = feed.schema.split()[0]
+        link = "named_struct('data', named_struct('id', {}))"
+        items = t.as_landed(make(spark, folder), feed).selectExpr(
+            f"{day[source]} AS day",
+            "CAST(substring(trip_id, 2) AS bigint) div 10000 AS slice",
+            f"""named_struct('id', {key}, 'attributes', struct({own[source]}), 'relationships',
+            named_struct('stop', {link.format("stop_id")}, 'route', {link.format("route_id")},
+                'trip', {link.format("trip_id")})) AS item""",
+            """array(named_struct('id', stop_id, 'type', 'stop', 'attributes', named_struct('name', stop_name,
+                'latitude', stop_latitude, 'longitude', stop_longitude, 'long_name', null, 'type', null)),
+            named_struct('id', route_id, 'type', 'route', 'attributes', named_struct('name', null,
+                'latitude', null, 'longitude', null, 'long_name', route_long_name, 'type', route_type)))
+            AS entities""",
+        )
+        documents = items.groupBy("day", "slice").agg(
+            F.collect_list("item").alias("data"),
+            F.array_distinct(F.flatten(F.collect_set("entities"))).alias("included"),
+        )
+        _write_documents(documents.select("day", F.struct("data", "included").alias("doc")), f"{root}/{source}")
+    broken = spark.range(1).select(F.lit('{"data": [{"id": "p').alias("value"))
+    broken.write.mode("append").text(f"{root}/mbta_predictions/day=2024-01-05")
+    measured = t.reported(t.weather(spark, folder)).selectExpr(
+        "CAST(observation_date AS string) AS day",
+        "struct(array({}) AS results) AS doc".format(
+            ", ".join(
+                f"struct('{code}' AS datatype, {column} AS value)"
+                for code, column in observations.MEASURES.items()
+            )
+        ),
+    )
+    _write_documents(measured, f"{root}/noaa")
+    ends = ", ".join(
+        f"""named_struct('formatted_address', {side}_address, 'latitude', {side}_latitude,
+            'longitude', {side}_longitude) AS {side}"""
+        for side in ("origin", "destination")
+    )
+    legs = ", ".join(
+        f"named_struct('value', {column}) AS {name}"
+        for name, column in (
+            ("distance", "distance_meters"),
+            ("duration", "duration_seconds"),
+            ("duration_in_traffic", "duration_in_traffic_seconds"),
+        )
+    )
+    driven = t.as_landed(t.driving(spark, folder), feeds.DRIVING).selectExpr(
+        "fetched_date AS day",
+        f"struct(struct(route_name AS name, {ends}) AS route, array(struct(array(struct({legs})) AS legs)) AS result) AS doc",
+    )
+    _write_documents(driven, f"{root}/driving", per_file=None)
+    return {source: f"{root}/{source}" for source in feeds.FEEDS}
+
+
+def _write_documents(rows: DataFrame, path: str, per_file: int | None = 1) -> None:
+    texts = rows.select("day", F.to_json("doc").alias("value")).repartition("day")
+    writer = texts.write.partitionBy("day")
+    (writer if per_file is None else writer.option("maxRecordsPerFile", per_file)).text(path)
+
+
+@query(
+    t.with_tables(
+        """SELECT 'transit' AS mode, route_id AS route, hour_bucket, day_type, weather_condition,
+            count(*) AS trips, CAST(sum(delay_seconds) AS BIGINT) AS seconds FROM transit GROUP BY ALL
+        UNION ALL SELECT 'driving', route_name, 'AM_PEAK', day_type, weather_condition, count(*),
+            CAST(sum(duration_in_traffic_seconds) AS BIGINT) FROM driven
+            WHERE duration_in_traffic_seconds IS NOT NULL AND route_name <> 'Road 2' GROUP BY ALL
+        UNION ALL SELECT 'set aside', 'mbta_predictions', NULL, NULL, NULL, 1, NULL""",
+        "transit",
+        "driven",
+    )
+)
+def daily_run_from_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Payload files through landing and every table; a damaged file is reported, others land."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
+    names = t.driving(spark, folder).select(F.col("route_name").alias("name")).distinct()
+    known = names.withColumn("is_active", F.col("name") != "Road 2")
+    jobs = payload_landing.payload_jobs(routes.list_routes(known), driving_lines=True)
+    report, _ = payload_landing.run_daily_from_payloads(
+        spark, _payload_files(spark, folder), landing, root, _DAY, jobs
+    )
+
+    def totals(mode: str, table: str, route: str, measure: str) -> DataFrame:
+        rows = spark.table(table).groupBy(
+            F.lit(mode).alias("mode"), F.col(route).alias("route"), "hour_bucket", "day_type", "weather_condition"
+        )
+        return rows.agg(F.count(F.lit(1)).alias("trips"), F.sum(measure).alias("seconds"))
+
+    none = F.lit(None).cast("string")
+    aside = report.filter("damaged > 0 OR error IS NOT NULL").select(
+        F.lit("set aside").alias("mode"),
+        F.col("source").alias("route"),
+        *(none.alias(c) for c in ("hour_bucket", "day_type", "weather_condition")),
+        F.col("damaged").alias("trips"),
+        F.lit(None).cast("long").alias("seconds"),
+    )
+    return (
+        totals("transit", staging.TRANSIT_TABLE, "route_id", "delay_seconds")
+        .unionByName(totals("driving", staging.DRIVING_TABLE, "route_name", "duration_in_traffic_seconds"))
+        .unionByName(aside)
+    )
+
+
 @query(
     t.with_tables(
         """SELECT 'bronze_mbta_predictions' AS name, count(*) AS n FROM predictions
