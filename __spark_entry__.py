@@ -364,6 +364,17 @@ def transit_reliability_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return _transit_fact(spark, folder, "sketch")
 
 
+@query(_TRANSIT_FACT_SQL)
+def transit_reliability_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks selected in two levels, without a window over the values of a group."""
+    return _transit_fact(spark, folder, "ranked")
+
+
+@query(_DRIVING_FACT_SQL)
+def driving_reliability_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return _driving_fact(spark, folder, "ranked")
+
+
 @query(_DRIVING_FACT_SQL)
 def driving_reliability(spark: SparkSession, folder: str) -> DataFrame:
     return _driving_fact(spark, folder)

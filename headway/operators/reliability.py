@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import functools
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import scoring
 from headway.operators.expectations import Expectation
+from headway.session import stored
 
 PERCENTS = (50, 90, 95)
 STRATA = ("hour_bucket", "day_type", "weather_condition")
@@ -75,7 +77,11 @@ def trip_statistics(df: DataFrame, spec: FactSpec, percentiles: str = "exact") -
 
     ``exact`` first counts equal values: a large group is spread over tasks by
     value and shrinks to its distinct whole seconds, whose counts are then
-    ranked. Results do not depend on how the rows are split. ``sketch`` is one
+    ranked by a window per group. ``ranked`` gives the same without one: ranks
+    are selected in two levels, so no task holds the values of a whole group.
+    It takes about twice as long where groups are small, and is meant for
+    measures that spread over months of seconds. Neither depends on how the
+    rows are split. ``sketch`` is one
     pass with a bounded sketch per group, combined on the map side, for
     measures with too many distinct values to count. It is exact up to some
     5,000 rows in a group and off by at most 1/10,000 of the ranks beyond.
@@ -85,7 +91,9 @@ def trip_statistics(df: DataFrame, spec: FactSpec, percentiles: str = "exact") -
         return _sketched(rows, spec)
     if percentiles == "exact":
         return _counted(rows, spec)
-    raise ValueError(f"percentiles must be sketch or exact, not {percentiles}")
+    if percentiles == "ranked":
+        return _ranked(rows, spec)
+    raise ValueError(f"percentiles must be exact, ranked or sketch, not {percentiles}")
 
 
 def _column(spec: FactSpec, statistic: str) -> str:
@@ -144,6 +152,135 @@ def _counted(rows: DataFrame, spec: FactSpec) -> DataFrame:
     )
 
 
+# Values of a measure are whole seconds in 32 bits. A slot is named by the high bits, so a
+# group has at most 2^20 slots and a slot at most 2^12 values. Sums of squares of the low bits
+# fit a long for 5e11 rows of a slot.
+_LOW_BITS = 12
+_WIDE = "decimal(38,0)"
+
+
+def _first_reaching(entries: Column, name: str, before: Column, total: Column, percent: int | Column) -> Column:
+    """The first of the sorted ``entries`` (``name``, n) with which a share of ``total`` is reached.
+
+    ``before`` counts what lies ahead of them. Returns a struct of the name and of the count
+    ahead of that entry. Whole numbers on both sides keep the rank free of rounding.
+    """
+    start = F.struct(
+        before.alias("upto"), F.lit(None).cast("int").alias("found"), F.lit(0).cast("long").alias("ahead")
+    )
+
+    def step(state: Column, entry: Column) -> Column:
+        upto = state["upto"] + entry["n"]
+        hit = state["found"].isNull() & (upto * 100 >= total * percent)
+        return F.struct(
+            upto.alias("upto"),
+            F.when(hit, entry[name]).otherwise(state["found"]).alias("found"),
+            F.when(hit, state["upto"]).otherwise(state["ahead"]).alias("ahead"),
+        )
+
+    return F.aggregate(entries, start, step)
+
+
+def _ranked(rows: DataFrame, spec: FactSpec) -> DataFrame:
+    """Exact statistics by rank selection in two levels, for groups with any number of values.
+
+    Equal values are counted first. Counts by the high bits of the values say which slot
+    holds each rank; only these slots are then looked into. Nothing gathers more of a group
+    than its slots, or more of a slot than its values.
+    """
+    value, n = F.col(spec.measure), F.col("_n")
+    parts, sums = [], []
+    for name, source in spec.averages.items():
+        parts += [F.sum(source).alias(f"_sum_{name}"), F.count(source).alias(f"_n_{name}")]
+        sums += [F.sum(f"_{part}_{name}").alias(f"_{part}_{name}") for part in ("sum", "n")]
+    counts = stored(
+        rows.groupBy(*spec.keys, spec.measure).agg(
+            F.count(F.lit(1)).alias("_n"), F.count_if(F.expr(spec.on_time)).alias("_on_time"), *parts
+        ),
+        "counts",
+    )
+    slot = F.shiftright(value.cast("int"), _LOW_BITS).alias("_slot")
+    low = F.col(spec.measure).bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).cast("long")
+    slots = counts.groupBy(*spec.keys, slot).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_on_time").alias("_on_time"),
+        F.sum(low * n).alias("_low"),
+        F.sum(low * low * n).alias("_low_squares"),
+        *sums,
+    )
+    base, wide_n = (F.col("_slot") * F.lit(1 << _LOW_BITS).cast("long")).cast("decimal(10,0)"), n.cast("decimal(18,0)")
+    wide_low = F.col("_low").cast("decimal(19,0)")
+    squared = (base * base * wide_n).cast(_WIDE) + (base * wide_low * 2).cast(_WIDE) + F.col("_low_squares")
+    entry = F.struct(F.col("_slot").alias("slot"), n.alias("n"))
+    groups = slots.groupBy(*spec.keys).agg(
+        F.sum("_n").alias("trip_count"),
+        F.sum("_on_time").alias("on_time_count"),
+        F.sum((base * wide_n + wide_low).cast(_WIDE)).cast(_WIDE).alias("_sum"),
+        F.sum(squared.cast(_WIDE)).cast(_WIDE).alias("_squares"),
+        *sums,
+        F.sort_array(F.collect_list(entry)).alias("_slots"),
+    )
+
+    total = F.col("trip_count")
+    places = [
+        F.struct(F.lit(p).alias("_percent"), *(found[c].alias(f"_{c}") for c in ("found", "ahead")))
+        for p in PERCENTS
+        for found in [_first_reaching(F.col("_slots"), "slot", F.lit(0).cast("long"), total, p)]
+    ]
+    own = ["trip_count", "on_time_count", "_sum", "_squares"]
+    own += [f"_{part}_{name}" for name in spec.averages for part in ("sum", "n")]
+    wanted = groups.select(*spec.keys, *own, F.inline(F.array(*places)))
+    others = {c: f"_of_{c}" for c in spec.keys}
+    values = counts.select(
+        *(F.col(c).alias(other) for c, other in others.items()), slot, value.cast("int").alias("_value"), "_n"
+    )
+    same = [F.col(c).eqNullSafe(F.col(other)) for c, other in others.items()]
+    listed = (
+        values.join(wanted, [F.col("_slot") == F.col("_found"), *same])
+        .groupBy(*spec.keys, "_percent")
+        .agg(
+            F.sort_array(F.collect_list(F.struct(F.col("_value").alias("value"), n.alias("n")))).alias("_values"),
+            *(F.first(c).alias(c) for c in ("_ahead", *own)),
+        )
+    )
+    found = _first_reaching(F.col("_values"), "value", F.col("_ahead"), total, F.col("_percent"))["found"]
+    kind = rows.schema[spec.measure].dataType
+    stats = (
+        listed.select(*spec.keys, *own, "_percent", found.cast(kind).alias("_value"))
+        .groupBy(*spec.keys)
+        .agg(
+            *(F.first(c).alias(c) for c in own),
+            *[
+                F.max(F.when(F.col("_percent") == p, F.col("_value"))).alias(_column(spec, f"p{p}"))
+                for p in PERCENTS
+            ],
+        )
+    )
+
+    # squares around the whole part of the mean are exact; the rest is below one second
+    center = F.expr("CAST(_sum DIV trip_count AS DECIMAL(10,0))")
+    squares = (
+        F.col("_squares")
+        - (center * F.col("_sum") * 2).cast(_WIDE)
+        + (center * center * total.cast("decimal(18,0)")).cast(_WIDE)
+    ).cast("double")
+    mean = F.col("_sum").cast("double") / total
+    off = (F.col("_sum") - (center * total.cast("decimal(18,0)")).cast(_WIDE)).cast("double")
+    around = F.greatest(squares - off * off / total, F.lit(0.0))
+    return stats.select(
+        *spec.keys,
+        "trip_count",
+        mean.alias(_column(spec, "mean")),
+        F.when(total > 1, F.sqrt(around / F.nullif(total - 1, F.lit(0)))).alias(_column(spec, "stddev")),
+        *[
+            (F.col(f"_sum_{name}") / F.nullif(F.col(f"_n_{name}"), F.lit(0))).alias(name)
+            for name in spec.averages
+        ],
+        "on_time_count",
+        *[_column(spec, f"p{p}") for p in PERCENTS],
+    )
+
+
 def with_scores(stats: DataFrame, spec: FactSpec) -> DataFrame:
     """Scores, volatility and labels from the trip statistics."""
     p50, p90, p95 = (F.col(_column(spec, f"p{p}")) for p in PERCENTS)

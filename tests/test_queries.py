@@ -75,3 +75,9 @@ def test_sketch_fact_shuffles_once(spark):
     assert _plan(sketch).count("Exchange") == 1
     exact = reliability.reliability_fact(rows, registered.SHIPPING, "exact")
     assert _plan(exact).count("Exchange") == 2
+
+
+def test_ranked_fact_gathers_no_whole_group(spark):
+    """No window: the values of a group never come together."""
+    plan = _plan(registered.queries()["transit_reliability_ranked"](spark, DATA))
+    assert "Window" not in plan and "Python" not in plan, plan

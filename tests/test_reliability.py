@@ -70,7 +70,7 @@ def _expected(rows, least):
     return facts
 
 
-@pytest.mark.parametrize("percentiles", ["exact", "sketch"])
+@pytest.mark.parametrize("percentiles", ["exact", "ranked", "sketch"])
 @pytest.mark.parametrize("least", [None, 1])
 def test_transit_fact(spark, trips, percentiles, least):
     df = spark.createDataFrame(trips, SCHEMA).repartition(5)
@@ -134,3 +134,29 @@ def test_expectations_hold_on_a_fact(spark, trips):
     fact = rel.reliability_fact(spark.createDataFrame(trips, SCHEMA), rel.TRANSIT)
     report = violations(fact, rel.TRANSIT.table, rel.TRANSIT.expectations())
     assert {r.failed_rows for r in report.collect()} == {0}
+
+
+def test_ranked_equals_exact_on_wide_and_uneven_groups(spark):
+    """Values over all of 32 bits, negative ones, null keys, groups of one and a large one."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        key = None if i % 7 == 0 else f"r{min(i % 40, 9)}"
+        value = rng.choice([rng.randint(-(2**31), 2**31 - 1), rng.randint(-5000, 5000), -4096, 4095, 0])
+        rows.append((key, "h", value, value < 300))
+    rows.append(("alone", "h", -7, True))
+    df = spark.createDataFrame(rows, "route_id string, hour_bucket string, delay_seconds int, is_on_time boolean")
+    df = df.selectExpr(
+        "*", "'s' AS stop_h3_index", "route_id AS route_long_name", "'d' AS day_type", "'clear' AS weather_condition"
+    )
+    exact, ranked = (rel.trip_statistics(df, rel.TRANSIT, way) for way in ("exact", "ranked"))
+    assert dict(exact.dtypes) == dict(ranked.dtypes)
+    assert exact.count() == ranked.count() == 12
+    theirs = {r.route_id: r.asDict() for r in exact.collect()}
+    for row in ranked.collect():
+        for name, mine in row.asDict().items():
+            other = theirs[row.route_id][name]
+            close = pytest.approx(other, rel=1e-9) if isinstance(other, float) else other
+            assert mine == close, (name, row)
