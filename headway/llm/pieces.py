@@ -32,7 +32,7 @@ from headway.llm import common
 
 SPACE = "▁"
 #: Parts of texts whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Longer parts are encoded each time.
 LONGEST_REMEMBERED = 64
 
@@ -169,16 +169,17 @@ class Pieces:
     def encode_known(self, text: str) -> list[int]:
         """Ids of a text whose characters are all pieces."""
         n = len(text)
-        if n == 1:
-            return [self.id_of[text]]
+        whole = self.id_of.get(text)
+        if whole is not None and (n == 1 or whole in self.reachable):
+            return [whole]
         longest = self.longest_from(text)
-        open_ = (1 << (n + 1)) - 1  # a bit for each place from which no failure is known
+        failed = bytearray((n >> 3) + 1)  # a bit for each place from which encoding is known to fail
         ids: list[int] = []
         place, piece = 0, longest[0]
         while place < n:
             before = ids[-1] if ids else None
             end = place + len(self.pieces[piece])
-            if open_ >> end & 1 and (before is None or self.fit_together(before, piece)):
+            if not failed[end >> 3] >> (end & 7) & 1 and (before is None or self.fit_together(before, piece)):
                 ids.append(piece)
                 place = end
                 if place < n:
@@ -189,7 +190,7 @@ class Pieces:
                 if shorter is not None:
                     piece = shorter
                     break
-                open_ &= ~(1 << place)
+                failed[place >> 3] |= 1 << (place & 7)
                 if not ids:
                     raise ValueError(f"no encoding of {text!r}")
                 piece = ids.pop()
@@ -198,6 +199,8 @@ class Pieces:
 
     def encode_part(self, text: str) -> list[int]:
         """Ids of a part, with the bytes of its unknown characters."""
+        if all(map(self.id_of.__contains__, text)):
+            return self.encode_known(text)
         ids: list[int] = []
         at = 0
         for i, c in enumerate(text):
@@ -210,11 +213,13 @@ class Pieces:
             ids += self.encode_known(text[at:])
         return ids
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The text of ids: runs of byte pieces are read as UTF-8, and the first space mark goes."""
+    def decode(self, ids: Iterable[int], first: bool = True) -> str:
+        """The text of ids: runs of byte pieces are read as UTF-8.
+
+        The first space mark goes, unless the ids continue others (``first`` is false).
+        """
         out: list[str] = []
         waiting = bytearray()
-        first = True
         for i in ids:
             value = self.byte_of.get(i)
             if value is not None:
@@ -257,27 +262,51 @@ _PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 class Encoder:
-    """A vocabulary with the ids of the parts met so far, as text."""
+    """A vocabulary with what is known of the parts met lately, in two generations.
+
+    Of a part it keeps the number of ids, the ids as text and the decoded text. A part begins
+    with a space mark, which is a piece, so no run of byte pieces goes from one part into
+    the next, and the decoded parts of a text are its decoding, but for the first mark.
+    """
 
     def __init__(self, path: str) -> None:
         self.vocabulary = Pieces(path)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, text: str) -> list[int]:
+        self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
+
+    def _part(self, part: str) -> tuple[int, str, str]:
+        found = self.older.get(part)
+        if found is None:
+            ids = self.vocabulary.encode_part(part)
+            found = len(ids), ",".join(map(str, ids)), self.vocabulary.decode(ids, first=False)
+            if len(part) > LONGEST_REMEMBERED:
+                return found
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        self.known[part] = found
+        return found
+
+    def parts(self, text: str) -> list[tuple[int, str, str]]:
+        """Number of ids, ids and decoded text of each part of a text."""
         if not text:
             return []
-        ids: list[int] = []
-        known = self.known
+        get, make = self.known.get, self._part
+        out = []
         for part in _PART.findall(SPACE + text.replace(" ", SPACE)):
-            found = known.get(part)
+            found = get(part)
             if found is None:
-                found = tuple(self.vocabulary.encode_part(part))
-                if len(part) <= LONGEST_REMEMBERED:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = found
-            ids += found
-        return ids
+                found = make(part)
+                get = self.known.get
+            out.append(found)
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return [int(i) for _, ids, _ in self.parts(text) for i in ids.split(",")]
+
+
+def decoded(parts: list[tuple[int, str, str]]) -> str:
+    """The decoding of all ids of a text."""
+    return "".join([d for _, _, d in parts]).removeprefix(" ")
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -299,11 +328,10 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             sizes, codes, texts = [], [], []
             for text in common.plain_texts(batch.column("text")):
-                ids = coder.encode(text)
-                sizes.append(len(ids))
-                codes.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                decoded = coder.vocabulary.decode(ids)
-                texts.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+                parts = coder.parts(text)
+                sizes.append(sum([n for n, _, _ in parts]))
+                codes.append(hashlib.sha256(",".join([c for _, c, _ in parts]).encode()).hexdigest())
+                texts.append(hashlib.sha256(decoded(parts).encode("utf-8")).hexdigest())
             hashes = pa.array(codes, pa.string()), pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), *hashes],

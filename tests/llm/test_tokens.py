@@ -142,6 +142,7 @@ def test_pieces_of_odd_texts(codec):
     for _ in range(3000):
         text = "".join(rng.choice(ODD + "▁ aaatt  ") for _ in range(rng.randrange(50)))
         assert mine.encode(text) == library.encode(text), text
+        assert pieces.decoded(mine.parts(text)) == library.decode(library.encode(text)), text
     for _ in range(2000):
         text = "".join(library.id_to_piece(rng.randrange(3, 32000)) for _ in range(rng.randrange(1, 9)))
         assert mine.encode(text) == library.encode(text), text
@@ -149,6 +150,33 @@ def test_pieces_of_odd_texts(codec):
         assert mine.encode(text) == library.encode(text)
 
 
+def test_long_parts_take_linear_time(codec):
+    import time
+
+    mine, library = codec
+    rng = random.Random(2)
+    spent = []
+    for n in (200_000, 2_000_000):
+        text = "".join(rng.choices("thereinganost", k=n))
+        start = time.process_time()
+        found = mine.encode(text)
+        spent.append(time.process_time() - start)
+        assert found == library.encode(text)
+    assert spent[1] < 25 * spent[0]
+
+
+def test_parts_met_lately_are_bounded(monkeypatch, codec):
+    monkeypatch.setattr(pieces, "REMEMBERED", 40)
+    mine = pieces.Encoder(MODEL)
+    rng = random.Random(3)
+    for _ in range(300):
+        text = " ".join(f"part{rng.randrange(150)}" for _ in range(5))
+        assert mine.encode(text) == codec[1].encode(text)
+        assert len(mine.known) <= 40 and len(mine.older) <= 40
+    parts = mine.parts("part1 part2")
+    assert mine.parts("part1 part2")[0] is parts[0]
+
+
 def test_backtracking_equals_merging(codec):
     vocabulary = codec[0].vocabulary
     rng = random.Random(6)
