@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -118,8 +118,9 @@ class Pieces:
     def _build_automaton(self) -> None:
         self.automaton = ahocorasick.Automaton()
         for i in self.reachable:
-            self.automaton.add_word(self.pieces[i], i)
+            self.automaton.add_word(self.pieces[i], (len(self.pieces[i]) - 1, i))
         self.automaton.make_automaton()
+        self.sizes = [len(p) for p in self.pieces]
         # the next shorter reachable piece that starts like a piece
         self.shorter: dict[int, int] = {}
         for i in self.reachable:
@@ -158,12 +159,9 @@ class Pieces:
     def longest_from(self, text: str) -> list[int]:
         """The longest piece that starts at each place of a text of known characters."""
         longest = [0] * len(text)
-        size = [0] * len(text)
-        for end, piece in self.automaton.iter(text):
-            n = len(self.pieces[piece])
-            start = end - n + 1
-            if n > size[start]:
-                size[start], longest[start] = n, piece
+        # matches come by their ends, so of those that start at a place the longest comes last
+        for end, (reach, piece) in self.automaton.iter(text):
+            longest[end - reach] = piece
         return longest
 
     def encode_known(self, text: str) -> list[int]:
@@ -174,14 +172,14 @@ class Pieces:
             return [whole]
         longest = self.longest_from(text)
         failed = bytearray((n >> 3) + 1)  # a bit for each place from which encoding is known to fail
+        sizes, fit_together = self.sizes, self.fit_together
         ids: list[int] = []
-        place, piece = 0, longest[0]
+        place, piece, before = 0, longest[0], -1
         while place < n:
-            before = ids[-1] if ids else None
-            end = place + len(self.pieces[piece])
-            if not failed[end >> 3] >> (end & 7) & 1 and (before is None or self.fit_together(before, piece)):
+            end = place + sizes[piece]
+            if not failed[end >> 3] >> (end & 7) & 1 and (before < 0 or fit_together(before, piece)):
                 ids.append(piece)
-                place = end
+                place, before = end, piece
                 if place < n:
                     piece = longest[place]
                 continue
@@ -194,7 +192,8 @@ class Pieces:
                 if not ids:
                     raise ValueError(f"no encoding of {text!r}")
                 piece = ids.pop()
-                place -= len(self.pieces[piece])
+                place -= sizes[piece]
+                before = ids[-1] if ids else -1
         return ids
 
     def encode_part(self, text: str) -> list[int]:
@@ -213,11 +212,14 @@ class Pieces:
             ids += self.encode_known(text[at:])
         return ids
 
-    def decode(self, ids: Iterable[int], first: bool = True) -> str:
+    def decode(self, ids: Sequence[int], first: bool = True) -> str:
         """The text of ids: runs of byte pieces are read as UTF-8.
 
         The first space mark goes, unless the ids continue others (``first`` is false).
         """
+        surface = self.surface
+        if not first and self.byte_of.keys().isdisjoint(ids):
+            return "".join([surface[i] for i in ids])
         out: list[str] = []
         waiting = bytearray()
         for i in ids:
@@ -229,7 +231,7 @@ class Pieces:
                 out.append(_bytes_text(bytes(waiting)))
                 waiting.clear()
                 first = False
-            piece = self.surface[i]
+            piece = surface[i]
             if first and i not in self.control:
                 piece = piece[1:] if piece.startswith(" ") and i != self.unknown_id else piece
                 first = False
