@@ -21,7 +21,6 @@ manifest without files.
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
@@ -62,7 +61,12 @@ class Packing:
 
     def serialize(self, ids: bytes) -> bytes:
         """Unsigned 32-bit ids in the width of the file."""
-        return ids if self.width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+        if self.width == 4:
+            return ids
+        wide = np.frombuffer(ids, "<u4")
+        if len(wide) and wide.max() > 0xFFFF:
+            raise ValueError("an id does not fit the width of the file")
+        return wide.astype("<u2").tobytes()
 
     def restore(self, data: bytes) -> bytes:
         return data if self.width == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
@@ -102,8 +106,21 @@ def trained(docs: DataFrame, path: str, end_id: int, width: int) -> Packing:
         return plain
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark reads and writes it by."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store.makeQualified(path).toString()
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}")
+    """The file system of a qualified path, and the path there."""
+    if ":" not in path:
+        raise ValueError(f"{path} names no file system; call qualified() first")
+    try:
+        return fs.FileSystem.from_uri(path)
+    except pa.ArrowInvalid as error:
+        raise ValueError(f"token files cannot be kept in {path}: no file system for its scheme in tasks") from error
 
 
 class Writer:
@@ -144,10 +161,17 @@ class Writer:
         return done
 
 
-def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2) -> None:
-    """Write the ids of all documents, each with ``end_id`` behind, into ``folder``."""
+def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int | None = None) -> None:
+    """Write the ids of all documents, each with ``end_id`` behind, into ``folder``.
+
+    Ids take ``width`` bytes, 2 or 4; by default the fewest that hold the vocabulary. An id
+    that does not fit a given width raises.
+    """
     spark = docs.sparkSession
     common.prepare(spark)
+    folder = qualified(spark, folder)
+    if width is None:
+        width = max(token_ids.encoder(path).width, 2 if end_id < 1 << 16 else 4)
     store, place = _place(folder)
     store.create_dir(f"{place}/files", recursive=True)
     packing = trained(docs, path, end_id, width)
@@ -221,6 +245,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     ``start`` counts the ids of all documents before. Files are opened by the tasks, one
     after another; ids are restored document by document.
     """
+    folder = qualified(spark, folder)
     packing = stored_packing(spark, folder)
     files = spark.read.parquet(f"{folder}/manifest").select("name", "start")
     tasks = max(files.count(), 1)

@@ -3,8 +3,9 @@
 Byte-pair vocabularies split a text into pieces before they merge inside each piece, so
 equal pieces have equal ids. For the two kinds of splitting known here, texts of common
 Latin characters are cut into the same pieces by a pattern; the library's model encodes
-each piece when a worker first meets it, and the worker remembers it. All other texts, and
-all texts under other kinds of splitting, are encoded by the library in one go.
+each piece when a worker first meets it, and the worker remembers it. All other texts, texts
+that hold an added token of the vocabulary, and all texts under other kinds of splitting, are
+encoded by the library in one go, called with ``add_special_tokens=False`` and nothing else.
 
 Ids are little-endian unsigned 32-bit integers. A null text counts as empty and has no ids.
 """
@@ -77,7 +78,8 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.known = Known(self.library.model)
         with open(path, encoding="utf-8") as file:
             self.lower = bool(json.load(file).get("normalizer"))
@@ -85,6 +87,11 @@ class Encoder:
         if self.encode(_PROBES) != self.whole(_PROBES):
             self.pattern = None
 
+    @property
+    def width(self) -> int:
+        """Bytes that hold every id of the vocabulary: 2 or 4."""
+        return 2 if max(self.library.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids by the library alone."""
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -96,7 +103,7 @@ class Encoder:
         others = []
         ids_of = self.known.__getitem__
         for i, text in enumerate(texts):
-            if self.pattern is None or not _COMMON.fullmatch(text):
+            if self.pattern is None or not _COMMON.fullmatch(text) or (self.added and self.added.search(text)):
                 others.append(i)
                 continue
             pieces = self.pattern.findall(text.lower() if self.lower else text)

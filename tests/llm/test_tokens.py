@@ -24,7 +24,6 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 def library_ids(path, texts, end):
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     found = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [b"".join(i.to_bytes(4, "little") for i in [*e.ids, end]) for e in found]
 
@@ -41,6 +40,23 @@ def test_ids_of_odd_texts(path):
     assert encoder.encode(texts) == encoder.whole(texts) == encoder.encode(texts)
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_added_tokens_as_the_library_gives_them(path):
+    texts = ["a <|endoftext|> b", "<|startoftext|>It's", "x<|ENDOFTEXT|>", "<|endoftext|><|endoftext|>", "<|endoftext", "a b"]
+    wanted = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    found = [list(memoryview(ids).cast("I")) for ids in token_ids.Encoder(path).encode(texts)]
+    assert found == wanted
+    assert {WORDS: 49407, BYTES: 50256}[path] in found[0]
+
+
+def test_ids_beyond_the_width_raise(tmp_path):
+    with pytest.raises(ValueError, match="width"):
+        token_files.Packing(2, b"").serialize((70_000).to_bytes(4, "little"))
+    assert token_ids.Encoder(BYTES).width == 2
+    with pytest.raises(ValueError, match="file system"):
+        token_files._place("s3a://bucket/folder")
+
+
 def test_remembered_pieces_are_bounded(monkeypatch):
     monkeypatch.setattr(token_ids, "REMEMBERED", 50)
     encoder = token_ids.Encoder(BYTES)
@@ -101,7 +117,7 @@ def test_token_file_query(spark, small, texts):
 
 
 def test_one_document_by_the_index(spark, small, texts, monkeypatch):
-    folder = scratch_path(spark, "tokens")
+    folder = token_files.qualified(spark, scratch_path(spark, "tokens"))
     docs = spark.read.parquet(f"{small}/documents.parquet")
     token_files.write(docs, folder, BYTES, 0)
     packing_ = token_files.stored_packing(spark, folder)
