@@ -2,7 +2,11 @@
 
 Each stage reads what the one before has kept; all but the last keep the columns of the
 documents. Quality rules, toxicity and near-copies remove documents, the secret scan
-changes their texts, and packing turns them into pieces of sequences.
+changes their texts, and packing turns them into pieces of sequences. Near copies are those
+of the SimHash operator: fingerprints of 3-word shingles that differ in at most 2 bits.
+
+Defined results: null and empty texts fail the quality rules; rows with equal ids are judged
+each by its own text; an empty table gives no rows; further columns stay until packing.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ def toxic_segments(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.kept_documents(docs)
+    return simhash.kept_documents(docs, size=3, radius=2)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

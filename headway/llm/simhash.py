@@ -18,7 +18,6 @@ are kept and never name a component that has another id.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -105,10 +104,10 @@ def _band(radius: int) -> Column:
     return F.floor(F.bit_count("fp") / (radius + 1)).cast("int")
 
 
-def cells(rows: DataFrame, ones: Column, tile: int = TILE, weight: Column | None = None) -> DataFrame:
+def cells(rows: DataFrame, ones: Column, tile: int = TILE) -> DataFrame:
     """Deal rows (node, part, value, ...) to the pairs of tiles in which they are compared.
 
-    A block of at most ``tile`` rows, or sum of ``weight``, is one tile. A larger one is cut
+    A block of at most ``tile`` rows is one tile. A larger one is cut
     by the bands ``ones`` and, within a band, by a hash of the node; a row goes to each pair
     of its own tile and a tile of its band or one beside it, so no pair is missed whose
     bands differ by one at most. Returns the rows with ``t1`` and ``t2``, the two tiles, and ``side``: 0 if the
@@ -117,19 +116,18 @@ def cells(rows: DataFrame, ones: Column, tile: int = TILE, weight: Column | None
     counted = (
         rows.withColumn("ones", ones)
         .groupBy("part", "value", "ones")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.lit(1) if weight is None else weight).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     large = (
         counted.groupBy("part", "value")
         .agg(
-            F.sum("rows").alias("rows"),
             F.sum("n").alias("total"),
-            # at most an entry for each of 65 population counts, or of the logarithms of sizes
+            # at most an entry for each of 65 population counts
             F.map_from_entries(
                 F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int")))
             ).alias("tiles"),
         )
-        .filter("rows > 1")
+        .filter("total > 1")
         .select("part", "value", F.when(F.col("total") > tile, F.col("tiles")).alias("tiles"))
     )
 
@@ -271,227 +269,20 @@ def near_dedup(docs: DataFrame, size: int = 3, radius: int = 2, tile: int = TILE
     )
 
 
-#: Of texts: 5-word shingles, and the share of shingles that near copies have in common.
-COPY_SHINGLE, COPY_SHARE = 5, 0.8
-#: Least shingle hashes that name a text's blocks. Near copies at a share of s have none in
-#: common with a chance of (1 - s) to this power: 0.00006 at 0.8.
-COPY_BLOCKS = 6
-#: Shingles of a tile of texts.
-COPY_TILE = 1 << 20
-#: A full mixing of its own for each block: unrelated seeds before a finaliser.
-_SEEDS = np.array([xxhash.xxh64_intdigest(b"block %d" % i, SEED) for i in range(COPY_BLOCKS)], dtype=np.uint64)
-_FINAL = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
-
-
-def least_hashes(hashes: np.ndarray) -> list[int]:
-    """The least of the hashes under each of several independent mixings, signed."""
-    if not len(hashes):
-        return [0] * COPY_BLOCKS
-    out = []
-    for seed in _SEEDS:
-        mixed = hashes ^ seed
-        mixed = (mixed ^ (mixed >> np.uint64(30))) * _FINAL[0]
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * _FINAL[1]
-        out.append((mixed ^ (mixed >> np.uint64(31))).min())
-    return signed(out).tolist()
-
-
-def parity_bits(hashes: np.ndarray) -> bytes:
-    """A map of at least a bit for each distinct hash, which every hash of that place turns over.
-
-    Two maps of one size differ in no more bits than the sets have hashes that the other
-    lacks. Sizes are powers of two from 64 bits on, so a map folds to half its size.
-    """
-    size = 1 << max(6, (len(hashes) - 1).bit_length())
-    places = (hashes & np.uint64(size - 1)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=size).astype(np.uint8) & 1, bitorder="little").tobytes()
-
-
-def signatures(docs: DataFrame, names: list[str]) -> DataFrame:
-    """``docs`` with, under ``names``, a key of the words, the number of distinct shingles, their
-    parity bits and their least hashes."""
-    place = docs.columns.index("text")
-
-    def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        keys, sizes, bits, least = [], [], [], []
-        for text in common.raw_texts(batch.column(place)):
-            words = normal_words(text)
-            hashes = np.unique(shingle_hashes(words, COPY_SHINGLE))
-            keys.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-            sizes.append(len(hashes))
-            bits.append(parity_bits(hashes))
-            least.append(least_hashes(hashes))
-        kinds = [
-            pa.array(keys, pa.string()),
-            pa.array(sizes, pa.int64()),
-            pa.array(bits, pa.binary()),
-            pa.array(least, pa.list_(pa.int64())),
-        ]
-        return dict(zip(names, kinds))
-
-    added = f"`{names[0]}` string, `{names[1]}` long, `{names[2]}` binary, `{names[3]}` array<long>"
-    return common.add_columns(docs, added, work)
-
-
-_CELL = ["part", "value", "t1", "t2"]
-
-
-def _size_band() -> Column:
-    """Sizes in bands of a ratio over 1 / COPY_SHARE: of near copies, bands differ by one at most."""
-    return F.floor(F.log(F.greatest("size", F.lit(1))) / math.log(1.01 / COPY_SHARE)).cast("int")
-
-
-def near_sets(
-    sizes: np.ndarray, bits: list[bytes], side: np.ndarray, label: np.ndarray, share: float
-) -> Iterator[tuple[int, np.ndarray]]:
-    """For rows in turn, the rows of another label that may have ``share`` of the hashes in common.
+def kept_documents(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
+    """One document of each component of ``near_dedup``, with the columns of ``docs``.
 
-    Sets in one tile, or of both if there are two. What is left out is ruled out by the sizes
-    or by the parity bits. ``label`` may change meanwhile.
+    The document with the least id of a component stays; null ids come last, and of equal
+    ids the first row stays. Documents without words are one component.
     """
-    two = bool(side.any()) and not side.all()
-    widths = np.array([len(b) for b in bits])
-    tables = {}
-    for width in np.unique(widths).tolist():
-        rows = np.flatnonzero(widths == width)
-        tables[width] = rows, np.frombuffer(b"".join(bits[r] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
-    for width, (rows, table) in tables.items():
-        lower = tables.get(width // 2)
-        half = table.shape[1] // 2
-        for k, x in enumerate(rows.tolist()):
-            met = [(rows[k + 1 :], table[k + 1 :], table[k])]
-            if lower:
-                met.append((*lower, table[k, :half] ^ table[k, half:]))
-            for others, maps, own in met:
-                n = sizes[others]
-                fits = (np.minimum(n, sizes[x]) >= share * np.maximum(n, sizes[x])) & (label[others] != label[x])
-                if two:
-                    fits &= side[others] != side[x]
-                place = np.flatnonzero(fits)
-                apart = np.bitwise_count(maps[place] ^ own).sum(axis=1, dtype=np.int64)
-                # sets that share enough lack at most (1 - share) / (1 + share) of their hashes
-                place = place[apart * (1 + share) <= (1 - share) * (n[place] + sizes[x]) + 1e-6]
-                if len(place):
-                    yield x, others[place]
-
-
-def with_company(dealt: DataFrame, share: float) -> DataFrame:
-    """The rows of cells that have another there which may share enough and has another label."""
-
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in common.runs(batches, len(_CELL)):
-            if cell.num_rows < 2:
-                continue
-            met = np.zeros(cell.num_rows, dtype=bool)
-            side, label, sizes = (cell.column(c).to_numpy() for c in ("side", "label", "size"))
-            for x, others in near_sets(sizes, cell.column("bits").to_pylist(), side, label, share):
-                met[x] = met[others] = True
-            if met.any():
-                yield from cell.drop_columns(["size", "bits"]).filter(pa.array(met)).combine_chunks().to_batches()
-
-    rows = dealt.select(*_CELL, "side", "node", "label", "size", "bits").repartition(*_CELL).sortWithinPartitions(*_CELL)
-    return rows.mapInArrow(find, "part int, value long, t1 long, t2 long, side int, node long, label long")
-
-
-def alike(rows: DataFrame, share: float) -> DataFrame:
-    """A spanning forest (a, b), in every cell, of the rows that share enough shingles.
-
-    ``rows`` has the cells, node, label and ``shingles``, distinct hashes. Rows with equal
-    labels count as connected; rows that are connected already need no comparison.
-    """
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in common.runs(batches, len(_CELL)):
-            if cell.num_rows < 2:
-                continue
-            node = cell.column("node").to_numpy()
-            label = cell.column("label").to_numpy().copy()
-            sets = [
-                part.values.to_numpy()[i:j]
-                for part in cell.column("shingles").chunks
-                for i, j in zip(part.offsets.to_numpy()[:-1], part.offsets.to_numpy()[1:])
-            ]
-            sizes, a, b = np.array([len(s) for s in sets]), [], []
-            bits = [parity_bits(s.view(np.uint64)) for s in sets]
-            for x, others in near_sets(sizes, bits, cell.column("side").to_numpy(), label, share):
-                for y in others.tolist():
-                    if label[x] == label[y]:
-                        continue
-                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                    if both >= share * (sizes[x] + sizes[y] - both):
-                        label[label == label[y]] = label[x]
-                        a.append(node[x])
-                        b.append(node[y])
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-                )
-
-    dealt = rows.select(*_CELL, "side", "node", "label", "shingles").repartition(*_CELL)
-    return dealt.sortWithinPartitions(*_CELL).mapInArrow(compare, "a long, b long")
-
-
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Rows (node, shingles) of rows (node, text)."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [
-                np.unique(shingle_hashes(normal_words(t), COPY_SHINGLE)).view(np.int64)
-                for t in common.raw_texts(batch.column("text"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
-            )
-
-    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
-
-
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """One document of each group of copies and near copies, with the columns of ``docs``.
-
-    Copies have the same words in the same order. Near copies share ``COPY_SHARE`` of their
-    distinct shingles of ``COPY_SHINGLE`` words: their blocks are named by least shingle
-    hashes, inside a block sizes and parity bits rule pairs out tile by tile, and the
-    shingles of the others decide. The first blocks link most near copies; in the others
-    only texts of different components are compared. The document with the least id of a
-    group stays; of rows with equal ids, the first.
-    """
-    common.prepare(docs.sparkSession)
-    names = common.fresh(docs, "words_key", "size", "bits", "least", "row")
-    row = names[-1]
-    signed_docs = signatures(docs, names[:4]).withColumn(row, F.monotonically_increasing_id())
-    staged = common.stored(signed_docs, "signed")
-    place = F.col(f"`{row}`").alias("row")
-    rows = staged.select(
-        *(F.col(f"`{name}`").alias(c) for name, c in zip(names, ("key", "size", "bits", "least"))),
-        place,
-        F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", place).alias("rank"),
-    )
-    kept = ("rank", "size", "bits", "least")
-    texts = common.stored(
-        rows.groupBy("key")
-        .agg(*(F.min(c).alias(c) if c == "rank" else F.first(c).alias(c) for c in kept))
-        .select(F.col("rank.row").alias("node"), *kept),
-        "texts",
-    )
-    named = staged.select(F.col(f"`{row}`").alias("node"), "text")
-    links = roots = None
-    for parts in (F.col("part") == 0, F.col("part") > 0):
-        labelled = texts.withColumn("label", F.col("node"))
-        if roots is not None:
-            labelled = texts.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
-        blocks = labelled.select("node", "label", "size", F.posexplode("least").alias("part", "value")).filter(parts)
-        dealt = cells(blocks, _size_band(), COPY_TILE, F.col("size"))
-        met = common.stored(with_company(dealt.join(texts.select("node", "bits"), "node"), COPY_SHARE), "met")
-        sets = common.stored(shingle_sets(named.join(met.select("node").distinct(), "node")), "shingles")
-        more = common.stored(alike(met.join(sets, "node"), COPY_SHARE), "alike")
-        links = more if links is None else links.unionByName(more)
-        roots = common.components(links)
-    grouped = texts.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-    stays = grouped.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("rank").alias("rank"))
-    gone = common.stored(
-        rows.select("row").join(stays.select(F.col("rank.row").alias("row")), "row", "left_anti"), "gone"
-    )
-    left = staged.join(gone.withColumnRenamed("row", row), row, "left_anti")
-    return left.select(*(f"`{c}`" for c in docs.columns))
+    row = common.fresh(docs, "row")[0]
+    staged = common.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    near = near_dedup(staged.select(F.col(f"`{row}`").alias("doc_id"), "text"), size, radius)
+    near = near.filter("component_size > 1").select(F.col("doc_id").alias("row"), "component_id")
+    ids = staged.select(F.col(f"`{row}`").alias("row"), "doc_id")
+    met = common.stored(near.join(ids, "row"), "copies")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    stays = met.groupBy("component_id").agg(F.min(rank).alias("first"))
+    gone = met.join(stays, "component_id").filter(F.col("row") != F.col("first.row"))
+    gone = gone.select(F.col("row").alias(row))
+    return staged.join(gone, row, "left_anti").select(*(f"`{c}`" for c in docs.columns))

@@ -77,34 +77,34 @@ def test_components_of_long_chains_and_stars(spark):
     assert common.components(links.limit(0)).count() == 0
 
 
-def test_near_copies_against_brute_force(spark, small, texts):
+def test_kept_documents_against_brute_force(spark, small, texts):
+    """The pipeline's stage: one document of each component of the operator, odd rows included."""
     rng = random.Random(5)
-    rows = list(texts.items())
-    for i, text in rows[:60]:
-        words = text.split()
+    rows = [(i, t, "a") for i, t in texts.items()]
+    for i, text, _ in rows[:60]:
+        words = (text or "").split()
         for k in range(3):
             changed = list(words)
-            for _ in range(max(1, len(words) // rng.choice([20, 60, 150]))):
+            for _ in range(len(words) // rng.choice([60, 150, 400])):
                 changed[rng.randrange(len(words))] = f"new{rng.randrange(1000)}"
-            rows.append((10_000 + 3 * i + k, " ".join(changed)))
-    rows += [(50_000, rows[0][1].upper()), (rows[1][0], rows[1][1])]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = simhash.kept_documents(frame).collect()
-    least = {}
-    for i, text in sorted(rows):
-        least.setdefault(tuple((text or "").encode().lower().split()), i)
-    words = list(least)
-    sets = [{w[k : k + 5] for k in range(max(1, len(w) - 4))} if w else set() for w in words]
-    links = [
-        (a, b)
-        for a in range(len(sets))
-        for b in range(a)
-        if sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
-    ]
+            rows.append((10_000 + 3 * i + k, " ".join(changed), "b"))
+    rows += [(50_000, rows[0][1].upper(), "c"), (rows[1][0], rows[1][1], "d"), (None, rows[2][1], "e")]
+    rows += [(60_000, None, "f"), (60_001, "", "g"), (None, "a text of its own here", "h")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row string").coalesce(1)
+    kept = simhash.kept_documents(frame)
+    assert kept.columns == ["doc_id", "text", "row"]
+    prints = [plain_fingerprint(t) for _, t, _ in rows]
+    fps = np.array(prints, dtype=np.uint64)
+    near = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None]) <= 2)
     best = {}
-    for n, r in enumerate(roots(len(words), links)):
-        best[r] = min(best.get(r, 1 << 60), least[words[n]])
-    assert links and sorted(r.doc_id for r in kept) == sorted(best.values())
+    for n, r in enumerate(roots(len(rows), [(a, b) for a, b in near.tolist() if a > b])):
+        rank = (rows[n][0] is None, rows[n][0] or 0, n)
+        best[r] = min(best.get(r, rank), rank)
+    assert len(best) < len(rows)
+    assert sorted(r.row + str(r.doc_id) for r in kept.collect()) == sorted(
+        rows[n][2] + str(rows[n][0]) for *_, n in best.values()
+    )
+    assert simhash.kept_documents(frame.limit(0)).count() == 0
 
 
 def test_population_counts_never_hide_a_link():
@@ -119,49 +119,3 @@ def test_population_counts_never_hide_a_link():
             if bin(int(fp[a] ^ fp[b])).count("1") <= 3 and (not side.any() or side[a] != side[b])
         }
         assert found == wanted
-
-
-def test_least_hashes_are_independent():
-    """Pairs at a share of 0.8 lose all blocks with a chance of 0.2 to the sixth."""
-    rng = np.random.default_rng(4)
-    lost = 0
-    for _ in range(5000):
-        union = rng.integers(0, 2**64, 250, dtype=np.uint64)
-        a, b = (simhash.least_hashes(part) for part in (union[:225], union[25:]))
-        lost += not any(x == y for x, y in zip(a, b))
-    assert lost <= 3
-
-
-def test_repeats_do_not_part_near_copies(spark):
-    rng = random.Random(6)
-    rows = []
-    for i in range(20):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
-        for k in range(2):  # either repeats another twentieth of the text
-            rows.append((2 * i + k, " ".join(words + words[40 + 200 * k :][:20] * 13)))
-    kept = simhash.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(r.doc_id for r in kept) == list(range(0, 40, 2))
-
-
-def test_bounds_and_tiles_lose_no_near_copy(spark, monkeypatch):
-    rng = np.random.default_rng(8)
-    sets = []
-    for size in (3, 60, 64, 66, 70, 128, 150, 1000, 1030):
-        base = rng.integers(0, 2**64, size, dtype=np.uint64)
-        sets += [base] + [np.unique(np.concatenate([base[k:], base[:1] + np.uint64(k)])) for k in range(1, size // 5 + 1, 1 + size // 60)]
-    sizes, bits = np.array([len(s) for s in sets]), [simhash.parity_bits(s) for s in sets]
-    nodes = np.arange(len(sets))
-    found = {
-        tuple(sorted((x, y)))
-        for x, others in simhash.near_sets(sizes, bits, np.zeros(len(sets)), nodes, 0.8)
-        for y in others.tolist()
-    }
-    for x in nodes.tolist():
-        for y in range(x):
-            both = len(np.intersect1d(sets[x], sets[y]))
-            assert (y, x) in found or both < 0.8 * (sizes[x] + sizes[y] - both)
-    words = [f"w{i}" for i in range(150)]
-    rows = [(i, " ".join(words[: 150 - i] + [f"x{i}"])) for i in range(100)]  # a chain of sizes
-    monkeypatch.setattr(simhash, "COPY_TILE", 1000)
-    kept = simhash.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert [r.doc_id for r in kept] == [0]
