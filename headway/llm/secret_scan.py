@@ -1,7 +1,8 @@
 """Secrets in texts: candidates by pattern, false alarms removed by a random forest.
 
-A candidate is a run of characters that keys are written in, or the whole value behind a key
-name and an assignment. A name and the sign behind it are never part of it. Its features are length and
+A candidate is a run of characters that keys are written in, the whole value behind a key
+name and an assignment, the password in the user part of a URL, or a whole private-key block.
+A name and the sign behind it are never part of it. Its features are length and
 kinds of characters, how usual its character transitions are in the corpus, how much of it
 is common words of the corpus, whether it looks like a path, host, number or placeholder,
 and which words and signs stand next to it. Transitions and word counts cover all texts; a
@@ -60,15 +61,21 @@ KEY_NAMES = re.compile(
 OTHER_NAMES = re.compile(r"(?i)(commit|sha\d*|md5|checksum|digest|version|uuid|guid|\bid\b|etag|build|revision|blob|tree)")
 STAND_INS = re.compile(r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test[_-]?key|1234567|abcdef0?123)")
 KNOWN_FORMS = re.compile(
-    r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"
+    r"-----BEGIN (?:[A-Z0-9]+ ){0,4}PRIVATE KEY|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"
 )
 #: Values from 8 characters on behind a key name and an assignment: quoted, or up to white
 #: space, a quote or the next name of a list.
 NAMED_VALUE = re.compile(
     r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth(?!or)|credential|bearer|client[_-]?key|signature)"
     r"[\w-]{0,32}[\"'`]?[ \t]{0,8}(?::=|=>|[=:])[ \t]{0,8}"
-    r"(?:\"([^\"\n]{8,1024})\"|'([^'\n]{8,1024})'|`([^`\n]{8,1024})`|[\"'`]?((?:(?![&;,][\w.-]+[=:])[^\s\"'`]){8,}))"
+    r"(?:\"([^\"\n]{8,})\"|'([^'\n]{8,})'|`([^`\n]{8,})`|[\"'`]?((?:(?![&;,][\w.-]+[=:])[^\s\"'`]){8,}))"
 )
+#: The marks around a private-key block, and what may stand between them.
+BLOCK_MARK = re.compile(r"-----(BEGIN|END) (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?-----")
+BLOCK_BODY = re.compile(r"[A-Za-z0-9+/=\s\\:,.-]{32,}")
+#: A password of 6 characters or more in the user part of a URL, and what stands before it.
+URL_PASSWORD = re.compile(r"://[^\s/:@\"'<>]*:([^\s/@\"'<>]{6,})@")
+USER_PART = re.compile(r"://[^\s/:@\"'<>]*:$")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 HOST = re.compile(r"(?i)([a-z0-9-]+\.)+(com|org|net|io|dev|edu|gov|html?|js|py|md|txt|json|jpe?g|png|pdf)\b")
 ASSIGNED = re.compile(r"[=:]>?[^\w\s\"']{0,3}\s*[\"'`]?$")
@@ -76,7 +83,7 @@ QUOTED = re.compile(r"[\"'`]$")
 
 FEATURES = """length entropy digits uppers lowers others hex changes transitions coverage
     longest_word pathlike hostlike at_sign uuid stand_in known_form assigned quoted named other_named
-    word_before distinct names_value""".split()
+    word_before distinct names_value user_part""".split()
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
@@ -94,6 +101,8 @@ def candidates(text: str) -> list[tuple[int, int]]:
         spaced = any(c.isspace() for c in text[start:end])
         if end - start >= 8 and not (spaced and any(s < end and start < e for s, e in _about(runs, start, end))):
             named.append((start, end))
+    named += [m.span(1) for m in URL_PASSWORD.finditer(text)]
+    named += _blocks(text)
     if not named:
         return runs
     out: list[tuple[int, int]] = []
@@ -105,6 +114,18 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _blocks(text: str) -> list[tuple[int, int]]:
+    """The spans of whole private-key blocks, marks included."""
+    if "PRIVATE KEY" not in text:
+        return []
+    marks = list(BLOCK_MARK.finditer(text))
+    return [
+        (a.start(), b.end())
+        for a, b in zip(marks, marks[1:])
+        if (a[1], b[1]) == ("BEGIN", "END") and BLOCK_BODY.fullmatch(text, a.end(), b.start())
+    ]
+
+
 def _about(runs: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
     """The runs that may meet the span from ``start`` to ``end``."""
     return runs[max(bisect_left(runs, (start, start)) - 1, 0) : bisect_left(runs, (end, end))]
@@ -166,6 +187,7 @@ def features(text: str, start: int, end: int, known: Corpus) -> list[float]:
     near = before[-40:]
     words = re.findall(r"[^\W\d_]{2,}", before)
     last = words[-1].lower() if words else ""
+    user_part = behind[:1] == "@" and bool(USER_PART.search(before))
     return [
         float(n),
         -sum(k / n * math.log2(k / n) for k in counts.values()),
@@ -180,7 +202,7 @@ def features(text: str, start: int, end: int, known: Corpus) -> list[float]:
         max(map(len, runs), default=0) / n,
         float(value.count("/") >= 2 or before[-1:] in ("/", "\\")),
         float(bool(HOST.search(value))),
-        float(before[-1:] == "@" or behind[:1] == "@"),
+        float((before[-1:] == "@" or behind[:1] == "@") and not user_part),
         float(bool(UUID.search(value))),
         float(bool(STAND_INS.search(value))),
         float(bool(KNOWN_FORMS.search(value))),
@@ -191,6 +213,7 @@ def features(text: str, start: int, end: int, known: Corpus) -> list[float]:
         zlib.crc32(last.encode()) % 64 / 64,
         len(counts) / n,
         float(behind[:1] == "="),
+        float(user_part),
     ]
 
 
@@ -200,6 +223,8 @@ _AT = {name: i for i, name in enumerate(FEATURES)}
 def by_rule(f: list[float]) -> int | None:
     """1 if strict rules confirm a candidate, 0 if they rule it out, None if they are silent."""
     get = lambda name: f[_AT[name]]
+    if get("user_part"):
+        return 0 if get("stand_in") or get("coverage") > 0.6 or get("entropy") < 2.5 else 1
     if get("stand_in") or get("hostlike") or get("uuid") or get("at_sign"):
         return 0
     if get("coverage") > 0.6 or get("entropy") < 2.5:
@@ -243,6 +268,16 @@ def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int
         lambda: "sk_live_" + some(letters, 24),
         lambda: f"eyJ{some(letters, 20)}.{some(letters, 40)}.{some(letters, 40)}",
     ]
+    line = lambda: some(letters + "+/", 64)
+    bare = keys[-4:] + [
+        lambda: f"xoxb-{some(string.digits, 11)}-{some(letters, 24)}",
+        lambda: rng.choice(["gho_", "ghs_", "ghu_"]) + some(letters, 36),
+        lambda: "-----BEGIN {0}PRIVATE KEY-----\n{1}\n-----END {0}PRIVATE KEY-----".format(
+            rng.choice(["", "RSA ", "EC ", "OPENSSH "]), "\n".join(line() for _ in range(rng.randint(2, 26)))
+        ),
+    ]
+    bare_holders = ["{1}", "'{1}'", "({1})", "{1},", "see {1}.", "{1};"]
+    user_holders = ["postgres://admin:{1}@db.internal/app", "https://bot:{1}@host.example.net/x", "amqp://{0}:{1}@mq:5672"]
     names = ["token", "TOKEN", "api_key", "secret", "password", "Authorization: Bearer", "access-key", "auth"]
     names += ["SERVICE_AUTH_TOKEN", "aws_secret_access_key", "DATABASE_PASSWORD"]
     holders = ['{0} = "{1}"', "{0}={1}", "{0}: {1}", '"{0}": "{1}"', "{0} '{1}'", '{0}###  =%%% "{1}"$$$', "?{0}={1}&"]
@@ -263,14 +298,21 @@ def made_up(n: int = MADE_UP, seed: int = SEED) -> list[tuple[str, int, int, int
     ]
     out = []
     for i in range(n):
-        secret = i % 2
+        secret, holder = i % 2, rng.choice(holders)
         if secret:
             value, name = rng.choice(keys)(), rng.choice(names)
+            place = rng.random()  # a third of the secrets stand without a name
+            if place < 0.25:
+                value, holder = rng.choice(bare)(), rng.choice(bare_holders)
+            elif place < 0.33:
+                value, name, holder = some(letters + "!$%^*", rng.randint(8, 24)), "user", rng.choice(user_holders)
         else:
             form, befores = rng.choice(harmless)
             value, name = form(), rng.choice(befores)
+            if rng.random() < 0.2:  # neither a name nor its lack decides
+                holder = rng.choice(bare_holders)
         lead = " ".join(word() for _ in range(rng.randint(0, 6)))
-        text = f"{lead} {rng.choice(holders).format(name, value)} {word()} {word()}"
+        text = f"{lead} {holder.format(name, value)} {word()} {word()}"
         start = text.index(value, len(lead) + 1)
         for s, e in candidates(text):
             out.append((text, s, e, int(secret and s < start + len(value) and start < e)))
@@ -319,9 +361,16 @@ def grown(findings: DataFrame) -> Forest:
     return Forest(out)
 
 
+def sampled_upto(rows: int) -> int:
+    """The greatest signed 64-bit hash of the sample, of so many rows."""
+    return min(SAMPLE_DOCUMENTS * 2**64 // max(rows, 1), 2**64) - 2**63 - 1
+
+
 def rule_findings(docs: DataFrame, known: Corpus) -> DataFrame:
-    """Findings (features, secret) of a sample of documents on which the rules speak."""
-    share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
+    """Findings (features, secret) of a sample of documents on which the rules speak.
+
+    Documents are chosen by a hash of id and text, so about ``SAMPLE_DOCUMENTS`` come at any size.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +386,7 @@ def rule_findings(docs: DataFrame, known: Corpus) -> DataFrame:
                 names=["features", "secret"],
             )
 
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    sample = docs.filter(F.xxhash64("doc_id", "text") <= F.lit(sampled_upto(docs.count())))
     return (
         sample.select("text")
         .mapInArrow(label, "features array<double>, secret int")
@@ -352,7 +401,8 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> tuple[Corpus, For
     known = corpus(docs)
     given = made_up()
     if findings is not None:
-        given += [tuple(r) for r in findings.select("text", "start", "end", "secret").limit(LEARN_FINDINGS).collect()]
+        taken = common.sampled(findings.select("text", "start", "end", "secret"), LEARN_FINDINGS, "text", "start", "end")
+        given += [tuple(r) for r in taken.collect()]
     rows = [(features(t, s, e, known), int(secret)) for t, s, e, secret in given]
     learned = spark.createDataFrame(rows, "features array<double>, secret int").coalesce(1)
     if findings is None:

@@ -208,18 +208,19 @@ def models(counted: DataFrame) -> list[Model] | None:
     return out
 
 
-def calibrated(
-    best: np.ndarray, tokens: np.ndarray, toxic: np.ndarray, all_scores: list[list[float]]
-) -> Calibration:
-    """Fit the law to the best segments of harmless texts, then the curve to all."""
+def extreme_law(best: np.ndarray, tokens: np.ndarray, toxic: np.ndarray) -> Calibration:
+    """The law of the best segments of harmless texts, without a curve yet."""
     size = np.log(tokens + 1)
     calm = toxic == 0
     slope, shift = np.polyfit(size[calm], best[calm], 1) if np.ptp(size[calm]) > 0 else (0.0, best[calm].mean())
     slope = max(float(slope), 0.0)
     rest = best[calm] - slope * size[calm]
     scale = max(float(rest.std()) * math.sqrt(6) / math.pi, 0.1)
-    law = Calibration(float(rest.mean()) - 0.5772156649 * scale, slope, scale, np.zeros(4))
-    x = np.array([law.evidence([(0, 0, s) for s in each], n) for each, n in zip(all_scores, tokens)])
+    return Calibration(float(rest.mean()) - 0.5772156649 * scale, slope, scale, np.zeros(4))
+
+
+def calibrated(law: Calibration, x: np.ndarray, toxic: np.ndarray) -> Calibration:
+    """The law with a curve from the evidence ``x`` to the labels."""
     w = np.zeros(x.shape[1])
     for _ in range(30):  # Newton steps with a small ridge
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -242,34 +243,46 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Calibration] | None:
         return None
     shared = spark.sparkContext.broadcast(fitted[:2])
 
-    def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_half = [Scores(shared.value[1]), Scores(shared.value[0])]
         for batch in batches:
-            out = []
+            sizes, found = [], []
             halves, texts = batch.column("half").to_pylist(), common.raw_texts(batch.column("text"))
             for half, text in zip(halves, texts):
                 words = text.split()
-                found = [s for _, _, s in segments([by_half[half][w] for w in words])]
-                # the strongest segments; weaker ones are not significant in texts of any length
-                out.append((len(words), sorted(found, reverse=True)[:20]))
-            sizes = pa.array([n for n, _ in out], pa.int64())
-            strongest = pa.array([s for _, s in out], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), sizes, strongest], names=["toxic", "tokens", "scores"]
-            )
+                sizes.append(len(words))
+                found.append([s for _, _, s in segments([by_half[half][w] for w in words])])
+            columns = [batch.column("toxic"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "tokens", "scores"])
 
     chosen = rows.orderBy("place", "doc_id").limit(CALIBRATE_ROWS)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample = sample.withColumn("half", F.pmod("place", F.lit(2)).cast("int"))
-    # twenty numbers for each calibrating label; rows beyond come from ids that repeat
-    seen = sample.select("half", "toxic", "text").mapInArrow(best, "toxic int, tokens long, scores array<double>")
-    got = seen.limit(2 * CALIBRATE_ROWS).toArrow()
-    each = got.column("scores").to_pylist()
-    first = np.array([max(s, default=0.0) for s in each])
-    toxic = got.column("toxic").to_numpy().astype(float)
+    # one text of each id, however often the id repeats
+    sample = sample.groupBy("doc_id").agg(
+        F.min_by(F.struct("text", "toxic", (F.pmod("place", F.lit(2)).cast("int")).alias("half")), F.xxhash64("text")).alias("r")
+    )
+    seen = common.stored(
+        sample.select("r.half", "r.toxic", "r.text").mapInArrow(scan, "toxic int, tokens long, scores array<double>"),
+        "segments",
+    )
+    got = seen.select("toxic", "tokens", F.coalesce(F.array_max("scores"), F.lit(0.0)).alias("best")).toArrow()
+    best, tokens, toxic = (got.column(c).to_numpy().astype(float) for c in ("best", "tokens", "toxic"))
     if not 0 < toxic.sum() < len(toxic):
         return None
-    return fitted[2], calibrated(first, got.column("tokens").to_numpy(), toxic, each)
+    law = extreme_law(best, tokens, toxic)
+
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("scores").to_pylist(), batch.column("tokens").to_pylist())
+            each = [law.evidence([(0, 0, s) for s in scores], n) for scores, n in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array(each, pa.list_(pa.float64()))], names=["toxic", "evidence"]
+            )
+
+    # four numbers for each of CALIBRATE_ROWS texts at most
+    told = seen.mapInArrow(weigh, "toxic int, evidence array<double>").toArrow()
+    x = np.array(told.column("evidence").to_pylist())
+    return fitted[2], calibrated(law, x, told.column("toxic").to_numpy().astype(float))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
