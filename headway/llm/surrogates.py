@@ -3,18 +3,27 @@
 One pattern finds e-mail addresses, phone, card and social-security numbers, IBANs, IP
 addresses of both kinds and names behind a title. An entity is the kind and normal form of
 what was found: an address in lower case, the digits of a number, a given name with its
-gender, initials, or a surname. Its surrogate is a function of a secret key, the kind, the normal form and a
-number of attempts, so mentions of one entity agree in every document, however they are
+gender, initials, or a surname. Its surrogate is a function of a secret key, the kind and
+the normal form, so mentions of one entity agree in every document, however they are
 written. Surrogates keep the format: digits, letters, case, separators, country codes,
 check digits, script and gender; initials become other initials.
 
-Collision check: over all distinct entities of the table, surrogates that are equal to each
-other or to an entity of the table are tried again until all differ. Hardly any need a
-second attempt, so the first is worked out inside each row, and only documents that
-mention one of the others are joined with their attempts.
+Numbers and addresses go through a keyed permutation of all values of their form: Feistel
+rounds, a shift that moves every value, and the rounds back. So different entities get
+different surrogates and none keeps its own, by construction and however crowded a form
+is. A surrogate may be equal to another entity of the table where the form has few values.
+
+Names are drawn: given names from lists by gender and script, surnames as syllables of the
+script. Collision check: names whose surrogates are equal to another's are drawn again,
+as one word of syllables that grows by a syllable a round, until all differ. The first is
+worked out inside each row; only documents that mention one of the others are joined with
+their attempts.
 
 Defined results: a null text stays null and has no mentions; a text without mentions stays
-as it is; repeated rows get equal results; an empty table gives no rows.
+as it is; repeated rows get equal results; an empty table gives no rows. A local part with
+letters outside the alphabets below, or ending in "%", becomes Latin letters and a "%", four
+letters or more for each of its own outside ASCII. Values without a letter or digit to
+change, and groups of zeros in IPv6 addresses, stay.
 """
 
 from __future__ import annotations
@@ -29,6 +38,9 @@ from headway.llm import common
 #: Key of the surrogates; a deployment gives its own.
 KEY = "headway"
 
+#: Names that a task draws surrogates for.
+NAMES_A_TASK = 20_000
+
 #: Titles by gender, and names to choose from by gender and script.
 TITLES = {
     "m": ["Mr", "Herr", "Señor", "Monsieur", "Господин"],
@@ -40,18 +52,41 @@ GIVEN = {
     "f": ["Alma", "Bianca", "Clara", "Diana", "Elena", "Frida", "Greta", "Helena", "Irina", "Julia", "Karla", "Lena"],
     "x": ["Alex", "Ariel", "Chris", "Dana", "Eden", "Jamie", "Kim", "Noel", "Robin", "Sasha", "Toni", "Vanja"],
 }
-SURNAMES = """Abel Bauer Castro Dorn Engel Ferrer Graf Huber Ibarra Jansen Keller Lang Moreau Navarro
-    Olsen Perrin Quint Richter Sommer Torres Ulrich Vidal Weber Xander Young Zimmer""".split()
 GIVEN_CYRILLIC = {
     "m": ["Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Игорь", "Кирилл"],
     "f": ["Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Инна", "Ксения"],
     "x": ["Саша", "Женя", "Валя", "Слава"],
 }
-SURNAMES_CYRILLIC = ["Белов", "Волков", "Громов", "Зайцев", "Котов", "Лебедев", "Морозов", "Орлов", "Соколов", "Титов"]
+
+#: Syllables of drawn names: sounds that open one, vowels, sounds that close one.
+SYLLABLES = {
+    "": ("b br ch d dr f fl g gl gr h j k kl kr l m n p pl pr r s sch sl st t tr v w z", "a e i o u", ",n,r,l,s"),
+    "_cyrillic": ("б бр в г гл д др ж з к кл кр л м н п пр р с ст т тр ф х ч ш", "а е и о у", ",н,р,л,с"),
+}
+#: Endings of drawn names by kind.
+ENDINGS = {
+    "given_m": "on", "given_f": "ina", "given_x": "y", "surname": "",
+    "given_m_cyrillic": "ан", "given_f_cyrillic": "ина", "given_x_cyrillic": "и",
+    "surname_cyrillic": "ов", "surname_cyrillic_f": "ова",
+}
 
 #: Alphabets that initials are taken from.
 ALPHABETS = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞŁŚŠŽ", "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"]
 
+def _cased(low: int, high: int) -> str:
+    """The small letters of a range that have a capital of one character which gives them back."""
+    letters = (chr(c) for c in range(low, high))
+    return "".join(c for c in letters if c.isalpha() and c != c.upper() and len(c.upper()) == 1 and c.upper().lower() == c)
+
+
+#: Characters that permutations stay within: digits, capitals, and small letters by script.
+CLASSES = ["0123456789", ALPHABETS[0], ALPHABETS[0].lower(), _cased(0xE0, 0x180), _cased(0x3B1, 0x3CA), _cased(0x430, 0x460)]
+ALL = "".join(CLASSES)
+#: Local parts of these characters keep their letters' classes.
+PLAIN_LOCAL = f"^[{''.join(CLASSES[:1] + CLASSES[2:])}._%+-]*[{''.join(CLASSES[:1] + CLASSES[2:])}._+-]$"
+#: Feistel rounds before the shift, and as many back behind it.
+ROUNDS = 4
+
 _LEFT, _RIGHT = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _TITLE = "|".join(t for g in "mfx" for t in TITLES[g])
 #: A word of a name may have capitals inside, as McDonald, O'Brien or SMITH, but no genitive.
@@ -128,6 +163,10 @@ def _full_address(address: Column) -> Column:
     return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
 
 
+def _octets(address: Column) -> Column:
+    return F.transform(F.split(address, r"\."), lambda part: part.cast("int"))
+
+
 def _entities(kind: Column, found: Column) -> Column:
     """The entities of a mention: kind, and normal form."""
 
@@ -152,7 +191,7 @@ def _entities(kind: Column, found: Column) -> Column:
         .when(kind == "email", F.array(entity("email", F.lower(found))))
         .when(kind == "phone", F.array(entity("phone", F.concat(code, F.lit("|"), _digits(found)))))
         .when(kind == "iban", F.array(entity("iban", F.regexp_replace(found, " ", ""))))
-        .when(kind == "ip", F.array(entity("ip", found)))
+        .when(kind == "ip", F.array(entity("ip", F.array_join(_octets(found).cast("array<string>"), "."))))
         .when(kind == "ip6", F.array(entity("ip6", _full_address(found))))
         .otherwise(F.array(entity(kind, _digits(found))))
     )
@@ -180,21 +219,79 @@ def _each(value: Column, change) -> Column:
     return F.array_join(F.transform(places, lambda i: change(F.substring(value, i, F.lit(1)), i)), "")
 
 
-def _like(value: Column, seed: Column) -> Column:
-    """Letters and digits replaced by others of their kind and script."""
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _permuted(digits: Column, sizes: Column, key: str, tweak: Column) -> Column:
+    """A keyed permutation without fixed points of lists of numbers, each from 0 to its size.
+
+    Numbers at even places are moved by a hash of those at odd places and the other way
+    round, ``ROUNDS`` times; then all are moved by other amounts than zero; then the rounds are
+    undone. Numbers of size 1 stay. The tweak and the sizes choose the permutation.
+    """
+    steps = [(r, 1) for r in range(ROUNDS)] + [(ROUNDS, 0)] + [(r, -1) for r in reversed(range(ROUNDS))]
+    listed = F.array(*(F.struct(F.lit(r).alias("round"), F.lit(sign).alias("sign")) for r, sign in steps))
+    given = F.struct(
+        digits.alias("digits"),
+        sizes.alias("sizes"),
+        F.concat_ws("\x1f", F.lit(key), tweak, F.array_join(sizes.cast("array<string>"), ",")).alias("base"),
+    )
+
+    def step(now: Column, each: Column, g: Column) -> Column:
+        odd = F.pmod(each["round"], F.lit(2))
+        others = F.filter(now, lambda _, i: F.pmod(i, F.lit(2)) != odd)
+        told = F.when(each["sign"] == 0, F.lit("")).otherwise(F.array_join(others.cast("array<string>"), ","))
+        seed = F.sha2(F.concat_ws("\x1f", g["base"], each["round"].cast("string"), told), 512)
+
+        def moved(h: Column) -> Column:
+            def one(d: Column, i: Column) -> Column:
+                size = F.get(g["sizes"], i)
+                by = _random(h, i + 1)
+                shift = F.pmod(by, F.greatest(size - 1, F.lit(1))) + 1
+                turn = F.when(F.pmod(i, F.lit(2)) == odd, by * each["sign"]).otherwise(F.lit(0))
+                return F.pmod(d + F.when(each["sign"] == 0, shift).otherwise(turn), size)
 
-    def pick(letters: str, i: Column) -> Column:
-        return F.substring(F.lit(letters), F.pmod(_random(seed, i), F.lit(len(letters))) + 1, F.lit(1))
+            return F.transform(now, one)
 
-    latin, cyrillic = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя"
-    return _each(
-        value,
-        lambda c, i: F.when(c.rlike("[0-9]"), pick("0123456789", i))
-        .when(c.rlike(r"\p{IsCyrillic}"), pick(cyrillic, i))
-        .when(c.rlike(r"\p{Lu}"), F.upper(pick(latin, i)))
-        .when(c.rlike(r"\p{L}"), pick(latin, i))
-        .otherwise(c),
+        return _bound(seed, moved)
+
+    return _bound(given, lambda g: F.aggregate(listed, g["digits"], lambda now, each: step(now, each, g)))
+
+
+def _moved(value: Column, key: str, tweak: Column) -> Column:
+    """Characters replaced by others of their class; those of no class stay."""
+    starts, at = [], 1
+    for letters in CLASSES:
+        starts.append((at, len(letters)))
+        at += len(letters)
+
+    def by_class(place: Column, pick, none: int) -> Column:
+        out = F.when(place == 0, F.lit(none))
+        for start, size in starts:
+            out = out.when(place < start + size, F.lit(pick(start, size)))
+        return out
+
+    first = lambda place: by_class(place, lambda start, _: start, 0)
+    size = lambda place: by_class(place, lambda _, size: size, 1)
+
+    def with_places(g: Column) -> Column:
+        digits = F.transform(g["places"], lambda p: p - first(p))
+        moved = _permuted(digits, F.transform(g["places"], size), key, tweak)
+
+        def letter(d: Column, i: Column) -> Column:
+            place = F.get(g["places"], i)
+            return F.when(place == 0, F.get(g["chars"], i)).otherwise(F.substring(F.lit(ALL), first(place) + d, F.lit(1)))
+
+        return F.array_join(F.transform(moved, letter), "")
+
+    chars = F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0))
+    placed = _bound(
+        chars,
+        lambda c: F.struct(c.alias("chars"), F.transform(c, lambda x: F.position(x, F.lit(ALL))).alias("places")),
     )
+    return _bound(placed, with_places)
 
 
 def _luhn(digits: Column, checked: bool) -> Column:
@@ -210,14 +307,30 @@ def _luhn(digits: Column, checked: bool) -> Column:
     return F.aggregate(F.transform(places, value), F.lit(0), lambda a, b: a + F.coalesce(b, F.lit(0)))
 
 
-def _chosen(names: list[str], seed: Column, attempt: Column) -> Column:
-    """A name of the list; from the second attempt on with another behind it, and so on."""
-    listed = F.array(*map(F.lit, names))
-    parts = F.transform(
-        F.sequence(F.lit(1), attempt + 1),
-        lambda i: F.element_at(listed, F.pmod(_random(seed, i), F.lit(len(names))) + 1),
-    )
-    return F.array_join(parts, "-")
+def _chosen(names: list[str], seed: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), F.pmod(_random(seed, F.lit(1)), F.lit(len(names))) + 1)
+
+
+def _drawn(kind: Column, seed: Column, syllables: Column) -> Column:
+    """A word of so many syllables with the ending of the kind."""
+
+    def syllable(i: Column) -> Column:
+        def spelt(n: Column) -> Column:
+            scripts = []
+            for sounds in SYLLABLES.values():
+                rest, out = n, []
+                for listed, mark in zip(sounds, "  ,"):
+                    choices = listed.split(mark)
+                    out.append(F.element_at(F.array(*map(F.lit, choices)), F.pmod(rest, F.lit(len(choices))) + 1))
+                    rest = F.floor(rest / len(choices)).cast("int")
+                scripts.append(F.concat(*out))
+            return F.when(kind.contains("_cyrillic"), scripts[1]).otherwise(scripts[0])
+
+        return _bound(_random(seed, i), spelt)
+
+    word = F.array_join(F.transform(F.sequence(F.lit(1), syllables), syllable), "")
+    endings = F.create_map(*(F.lit(x) for pair in ENDINGS.items() for x in pair))
+    return F.initcap(F.concat(word, F.element_at(endings, kind)))
 
 
 def _iban_rest(iban: Column) -> Column:
@@ -236,62 +349,107 @@ def _other_initials(key: str, value: Column) -> Column:
     return F.translate(value, "".join(c for m in mixed for c in m), "".join(c for m in mixed for c in m[1:] + m[:1]))
 
 
-def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """The normal form of the surrogate of an entity."""
-    base = F.concat_ws("\x1f", F.lit(key), kind, value, attempt.cast("string"))
-    seed = F.sha2(base, 512)
-    domain_seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index(value, "@", -1)), 512)
-    domain = F.substring_index(value, "@", -1)
-    host = F.regexp_replace(domain, r"\.[a-z]+$", "")
-    email = F.concat(
-        _like(F.substring_index(value, "@", 1), seed),
-        F.lit("@"),
-        _like(host, domain_seed),
-        F.regexp_extract(domain, r"(\.[a-z]+)$", 1),
-    )
-    code = F.substring_index(value, "|", 1)
-    number = F.substring_index(value, "|", -1)
-    phone = F.concat(
-        code, F.lit("|"), code, _like(F.substring(number, F.length(code) + 1, F.lit(1 << 20)), seed)
-    )
-    body = _like(F.substring(value, F.lit(1), F.length(value) - 1), seed)
-    check = F.pmod(F.lit(10) - F.pmod(_luhn(body, False), F.lit(10)), F.lit(10)).cast("string")
-    card = F.when(F.pmod(_luhn(value, True), F.lit(10)) == 0, F.concat(body, check)).otherwise(_like(value, seed))
-    ip = F.array_join(
-        F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (F.pmod(_random(seed, i), F.lit(254)) + 1).cast("string")), "."
-    )
-    account = _like(F.substring(value, F.lit(5), F.lit(1 << 20)), seed)
+def _off(value: Column, right: Column, size: int) -> Column:
+    """How far check digits are from the right ones."""
+    return F.pmod(value.cast("int") - right, F.lit(size))
+
+
+def _written_value(key: str, kind: Column, value: Column) -> Column:
+    """The surrogate of an entity of digits and letters.
+
+    What is moved is a local part, the digits behind a country code, a card without its check
+    digit, the account of an IBAN, or all; check digits stay as far from the right ones as
+    they were.
+    """
+    local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    ending = F.regexp_extract(domain, r"(\.[a-z]+)$", 1)
+    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(ending))
+    plain = local.rlike(PLAIN_LOCAL)
+    spelt = F.translate(F.hex(F.encode(local, "UTF-8")), "0123456789ABCDEF", "abcdefghijklmnop")
+    code, number = F.substring_index(value, "|", 1), F.substring_index(value, "|", -1)
     country = F.substring(value, 1, 2)
-    checks = F.lpad((F.lit(98) - _iban_rest(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
-    iban = F.when(_iban_rest(value) == 1, F.concat(country, checks, account)).otherwise(
-        F.concat(country, _like(F.substring(value, F.lit(3), F.lit(1 << 20)), seed))
-    )
-    # groups of zeros stay, as they may be left out
-    ip6 = F.array_join(
-        F.transform(
-            F.split(value, ":"),
-            lambda g, i: F.when(g == "0000", g).otherwise(
-                F.concat(F.translate(F.substring(seed, i * 4 + 1, F.lit(1)), "0", "1"), F.substring(seed, i * 4 + 2, F.lit(3)))
-            ),
-        ),
-        ":",
+    inside = F.struct(
+        F.when(kind == "email", F.when(plain, local).otherwise(spelt))
+        .when(kind == "phone", F.substring(number, F.length(code) + 1, F.lit(1 << 20)))
+        .when(kind == "card", F.substring(value, F.lit(1), F.length(value) - 1))
+        .when(kind == "iban", F.substring(value, F.lit(5), F.lit(1 << 20)))
+        .otherwise(value)
+        .alias("text"),
+        F.concat_ws(
+            "\x1f",
+            kind,
+            F.when(kind == "email", F.concat_ws("\x1f", domain, plain.cast("string")))
+            .when(kind == "phone", code)
+            .when(kind == "iban", country),
+        ).alias("tweak"),
     )
-    out = (
-        F.when(kind == "email", email)
-        .when(kind == "phone", phone)
-        .when(kind == "card", card)
-        .when(kind == "ip", ip)
-        .when(kind == "ip6", ip6)
-        .when(kind == "iban", iban)
+    card = lambda body: F.pmod(-_luhn(body, False), F.lit(10))
+    account = lambda rest: F.lit(98) - _iban_rest(F.concat(country, F.lit("00"), rest))
+
+    def closed(old: Column, new: Column) -> Column:
+        check = F.pmod(card(new) + _off(F.substring(value, -1, 1), card(old), 10), F.lit(10))
+        checks = F.pmod(account(new) + _off(F.substring(value, 3, 2), account(old), 100), F.lit(100))
+        hosts = _moved(host, key, F.concat(F.lit("host\x1f"), ending))
+        return (
+            F.when(kind == "email", F.concat(new, F.when(plain, "").otherwise("%"), F.lit("@"), hosts, ending))
+            .when(kind == "phone", F.concat(code, F.lit("|"), code, new))
+            .when(kind == "card", F.concat(new, check.cast("string")))
+            .when(kind == "iban", F.concat(country, F.lpad(checks.cast("string"), 2, "0"), new))
+            .otherwise(new)
+        )
+
+    return _bound(inside, lambda g: _bound(_moved(g["text"], key, g["tweak"]), lambda new: closed(g["text"], new)))
+
+
+def _numbered_value(key: str, kind: Column, value: Column) -> Column:
+    """The surrogate of an IP address.
+
+    Bytes become other bytes and larger numbers other larger ones. Groups of zeros in
+    addresses of version 6 stay, as they may be left out.
+    """
+    six = kind == "ip6"
+    parts = F.when(six, F.transform(F.split(value, ":"), lambda g: F.conv(g, 16, 10).cast("int"))).otherwise(_octets(value))
+
+    def moved(given: Column) -> Column:
+        base = lambda v: F.when(six, F.when(v == 0, 0).otherwise(1)).otherwise(F.when(v < 256, 0).otherwise(256))
+        sizes = lambda v: F.when(six, F.when(v == 0, 1).otherwise(65535)).otherwise(F.when(v < 256, 256).otherwise(744))
+        low = F.transform(given, lambda v: v - base(v))
+        new = F.zip_with(_permuted(low, F.transform(given, sizes), key, kind), given, lambda n, v: n + base(v))
+        return F.when(
+            six, F.array_join(F.transform(new, lambda v: F.lpad(F.lower(F.hex(v)), 4, "0")), ":")
+        ).otherwise(F.array_join(new.cast("array<string>"), "."))
+
+    return _bound(parts, moved)
+
+
+#: Kinds of names that are drawn.
+DRAWN = "^(given_[mfx]|surname)"
+
+
+def drawn_name(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+    """The surrogate of a given name or a surname."""
+    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, attempt.cast("string")), 512)
+
+    def choose(s: Column) -> Column:
+        listed = None
+        for script, names in (("", GIVEN), ("_cyrillic", GIVEN_CYRILLIC)):
+            for gender in "mfx":
+                fits = (kind == f"given_{gender}{script}") & (attempt == 0)
+                name = _chosen(names[gender], s)
+                listed = F.when(fits, name) if listed is None else listed.when(fits, name)
+        return listed.otherwise(_drawn(kind, s, F.when(kind.startswith("surname"), attempt + 3).otherwise(attempt + 1)))
+
+    return _bound(seed, choose)
+
+
+def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+    """The normal form of the surrogate of an entity. Only names need attempts."""
+    return (
+        F.when(kind.rlike(DRAWN), drawn_name(key, kind, value, attempt))
         .when(kind == "given_initial", _other_initials(key, value))
-        .when(kind == "surname", _chosen(SURNAMES, seed, attempt))
-        .when(kind == "surname_cyrillic", _chosen(SURNAMES_CYRILLIC, seed, attempt))
-        .when(kind == "surname_cyrillic_f", F.concat(_chosen(SURNAMES_CYRILLIC, seed, attempt), F.lit("а")))
+        .when(kind.isin("ip", "ip6"), _numbered_value(key, kind, value))
+        .otherwise(_written_value(key, kind, value))
     )
-    for gender in "mfx":
-        out = out.when(kind == f"given_{gender}", _chosen(GIVEN[gender], seed, attempt))
-        out = out.when(kind == f"given_{gender}_cyrillic", _chosen(GIVEN_CYRILLIC[gender], seed, attempt))
-    return out.otherwise(_like(value, seed))
 
 
 def _in_format(kind: Column, original: Column, normal: Column) -> Column:
@@ -345,32 +503,34 @@ def replaced(text: Column, found: Column, key: str, attempt) -> Column:
 
 
 def attempts(entities: DataFrame, key: str) -> DataFrame:
-    """The entities (kind, value) that need more than one attempt, with their number of attempts.
+    """The names (kind, value) that need more than one attempt, with their number of attempts.
 
-    Each round works out the surrogates of all entities and moves those on that are equal
-    to another's or to an entity, but for the first of each group. A round is one
-    aggregation over distinct entities.
+    A round groups the surrogates of all names and draws again for those that are equal to
+    another's, but for the first of each group. Surrogates are worked out once a round, by
+    tasks of ``NAMES_A_TASK`` names, and stored.
     """
-    table = common.stored(entities.distinct().withColumn("attempt", F.lit(0)), "entities")
+
+    def drawn(names: DataFrame) -> DataFrame:
+        made = drawn_name(key, F.col("kind"), F.col("value"), F.col("attempt"))
+        return names.select("kind", "value", "attempt", made.alias("made"))
+
+    names = entities.filter(F.col("kind").rlike(DRAWN)).distinct()
+    names = common.stored(names.withColumn("attempt", F.lit(0)), "names")
+    tasks = names.count() // NAMES_A_TASK + 1
+    table = common.stored(drawn(names.repartition(tasks, "kind", "value")), "drawn")
     while True:
-        made = table.withColumn("made", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt")))
-        given = table.select("kind", F.col("value").alias("made"), F.lit(None).cast("string").alias("value"))
-        met = made.select("kind", "made", "value").unionByName(given)
-        clashes = (
-            met.groupBy("kind", "made")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first"), F.count_if(F.col("value").isNull()).alias("real"))
-            .filter("n > 1 AND first IS NOT NULL")
-        )
-        # people share names, so a name that others have is no clash
-        taken = (F.col("real") > 0) & ~F.col("kind").rlike("^(given|surname)")
-        again = made.join(clashes, ["kind", "made"]).filter((F.col("value") != F.col("first")) | taken)
-        again = common.stored(again.select("kind", "value", (F.col("attempt") + 1).alias("next")), "again")
-        if again.isEmpty():
-            return table.filter("attempt > 0")
-        moved = table.join(again, ["kind", "value"], "left")
-        table = common.stored(
-            moved.select("kind", "value", F.coalesce("next", "attempt").alias("attempt")), "entities"
+        clashes = table.groupBy("kind", "made").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first"))
+        joined = table.join(clashes.filter("n > 1").drop("n"), ["kind", "made"], "left")
+        told = common.stored(
+            joined.select("kind", "value", "attempt", "made", F.coalesce(F.col("value") != F.col("first"), F.lit(False)).alias("again")),
+            "told",
         )
+        again = told.filter("again").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+        n = again.count()
+        if not n:
+            return told.filter("attempt > 0").select("kind", "value", "attempt")
+        moved = drawn(again.repartition(n // NAMES_A_TASK + 1, "kind", "value"))
+        table = common.stored(told.filter("NOT again").drop("again").unionByName(moved), "drawn")
 
 
 def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:

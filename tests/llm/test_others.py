@@ -185,7 +185,7 @@ def plain_permutation(digits, sizes, key, tweak):
 def test_numbers_go_through_a_permutation(spark):
     values = [f"{i:0{n}d}" for n in (1, 2, 3) for i in range(10**n)] + ["", "4" * 40, "1234567890" * 7]
     frame = spark.createDataFrame([(v,) for v in values], "value string")
-    moved = surrogates._digits_moved(F.col("value"), "a key", F.lit("t"))
+    moved = surrogates._moved(F.col("value"), "a key", F.lit("t"))
     got = {r.value: r.made for r in frame.select("value", moved.alias("made")).collect()}
     for v, made in got.items():
         wanted = plain_permutation([int(c) for c in v], [10] * len(v), "a key", "t")
