@@ -183,8 +183,8 @@ def plain_permutation(digits, sizes, key, tweak):
 
 
 def test_numbers_go_through_a_permutation(spark):
-    values = [f"{i:0{n}d}" for n in (1, 2, 3) for i in range(10**n)] + ["", "4" * 40, "1234567890" * 7]
-    frame = spark.createDataFrame([(v,) for v in values], "value string")
+    values = [f"{i:0{n}d}" for n in (1, 2) for i in range(10**n)] + ["", "4" * 40, "1234567890" * 7]
+    frame = spark.createDataFrame([(v,) for v in values], "value string").repartition(4)
     moved = surrogates._moved(F.col("value"), "a key", F.lit("t"))
     got = {r.value: r.made for r in frame.select("value", moved.alias("made")).collect()}
     for v, made in got.items():
@@ -196,10 +196,10 @@ def test_numbers_go_through_a_permutation(spark):
 def test_crowded_forms_end_and_differ(spark):
     letters = "abcdefghijklmnopqrstuvwxyzéöüñ"
     rows = [(i, f"write to {c}@one.example") for i, c in enumerate(letters)]
-    rows += [(100 + i, f"call +1 {i // 100:02d} {i % 100:02d} now") for i in range(10_000)]
+    rows += [(100 + i, f"call +1 {i // 10:02d} {i % 10:02d}0 now") for i in range(1000)]
     rows += [(20_000 + i, f"at 10.0.0.{i} and 010.0.0.{i}") for i in range(256)]
     rows += [(30_000 + i, f"write to {c}@one.example") for i, c in enumerate(["李", "李明", "李m", "%", "a%", "ß", "王"])]
-    got = {r.doc_id: r.text for r in surrogates.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.text for r in surrogates.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert len(set(got.values())) == len(rows)
     given = dict(rows)
     hosts = {t.split("@")[1] for t in got.values() if "@" in t}
@@ -211,13 +211,13 @@ def test_crowded_forms_end_and_differ(spark):
         if 20_000 <= i < 30_000:
             first, second = re.fullmatch(r"at (\S+) and (\S+)", text).groups()
             assert first == second and all(int(part) < 256 for part in first.split("."))
-    assert sum(t.startswith("call +1") for t in got.values()) == 10_000
+    assert sum(t.startswith("call +1") for t in got.values()) == 1000
 
 
 def test_broken_check_digits_stay_apart(spark):
     """Right and wrong check digits never meet, so cards and accounts stay different."""
-    cards = [f"41111111111{n:04d}{c}" for n in range(50) for c in range(10)]
-    ibans = [f"DE{c:02d}50010517540732493{n}" for n in range(10) for c in range(0, 100, 7)]
+    cards = [f"41111111111{n:04d}{c}" for n in range(10) for c in range(10)]
+    ibans = [f"DE{c:02d}50010517540732493{n}" for n in range(4) for c in range(0, 100, 7)]
     rows = [(i, v) for i, v in enumerate(cards + ibans)]
     got = surrogates.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len({r.text for r in got}) == len(rows) and not {r.text for r in got} & set(cards + ibans)
@@ -232,12 +232,12 @@ def test_broken_check_digits_stay_apart(spark):
 
 
 def test_many_names_stay_one_word(spark):
-    rows = [(i, f"Mr Ab{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} Zed{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} left") for i in range(3000)]
+    rows = [(i, f"Mr Ab{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} Zed{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} left") for i in range(1000)]
     rows += [(5000 + i, f"Господин {a} {a}{b}ов и Госпожа {b}а {a}{b}ова") for i, (a, b) in enumerate([("Ли", "ко"), ("Му", "ра"), ("По", "ла")])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in surrogates.pseudonymised(frame).collect()}
-    names = [re.fullmatch(r"Mr ([A-Z][a-z]+) ([A-Z][a-z]+) left", got[i]).groups() for i in range(3000)]
-    assert len({given for given, _ in names}) == 676 and len({last for _, last in names}) == 3000
+    names = [re.fullmatch(r"Mr ([A-Z][a-z]+) ([A-Z][a-z]+) left", got[i]).groups() for i in range(1000)]
+    assert len({given for given, _ in names}) == 676 and len({last for _, last in names}) == 1000
     for i in range(5000, 5003):
         assert re.match(r"Господин [А-Я][а-я]+ [А-Я][а-я]+ов и Госпожа ", got[i])
 
