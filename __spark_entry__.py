@@ -1408,6 +1408,34 @@ def daily_run_without_matches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _run_with_late_weather(spark: SparkSession, folder: str) -> None:
+    """Two maintained runs; weather from the 21st of a month on lands with the second alone."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "root")
+    jobs = _landing_jobs(spark, folder, reported_only=True)
+    place, rows = jobs["noaa"]
+    is_late = F.dayofmonth(F.col("observation_date").cast("date")) > 20
+    early = {"noaa": (place, lambda: rows().filter(~is_late))}
+    late = {"noaa": (place, lambda: rows().filter(is_late))}
+    reports.land_sources(spark, {**jobs, **early}, landing, _DAY)
+    daily.run_daily(spark, landing, root, _DAY, maintained=True)
+    reports.land_sources(spark, late, landing, "2024-01-11")
+    daily.run_daily(spark, landing, root, _DAY, maintained=True)
+
+
+@query(_TRANSIT_SQL)
+def transit_performance_late_weather(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips appended before their weather was known, read by name from the maintained table."""
+    _run_with_late_weather(spark, folder)
+    return spark.table(staging.TRANSIT_TABLE)
+
+
+@query(_impact_sql(_LAGGED))
+def daily_run_late_weather(spark: SparkSession, folder: str) -> DataFrame:
+    """The effect of weather as a run writes it whose weather came in two parts."""
+    _run_with_late_weather(spark, folder)
+    return spark.table(comparison.IMPACT_TABLE)
+
+
 def _sizes(spark: SparkSession, *names: str) -> DataFrame:
     counts = [
         spark.table(n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in names
