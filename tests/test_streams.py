@@ -167,6 +167,27 @@ def test_landing_nothing_writes_nothing(spark, tmp_path):
     assert spark.read.json(path).count() == 3
 
 
+def test_landed_lines_are_packed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sink._PACKED, "maxRecordsPerFile", 300)
+    rows = spark.range(0, 1000, 1, 2).selectExpr(
+        "concat('p', id) AS prediction_id", "'R1' AS route_id", "concat('T', id) AS trip_id",
+        "'2024-01-05T08:30:00' AS arrival_time", "'2024-01-05' AS fetched_date",
+    )
+    rows.write.json(str(tmp_path / "plain"))
+    path = land(rows, str(tmp_path), feeds.PREDICTIONS.folder, "2024-01-05")
+    packed, plain = (list((tmp_path / p).glob("part-*")) for p in (path, "plain"))
+    assert len(packed) == 4 and all(f.name.endswith(".json.gz") for f in packed)
+    assert sum(f.stat().st_size for f in packed) * 4 < sum(f.stat().st_size for f in plain)
+    assert all(spark.read.text(str(f)).count() <= 300 for f in packed)
+    store = streams.Store(str(tmp_path / "store"))
+    streams.finish(streams.append_raw(spark, feeds.PREDICTIONS, str(tmp_path), store))
+    for read in (
+        files.snapshot(spark, store.table(feeds.PREDICTIONS.table)),
+        files.raw_batch(spark, feeds.PREDICTIONS, str(tmp_path)),
+    ):
+        assert read.select("prediction_id", "trip_id").distinct().count() == read.count() == 1000
+
+
 def test_only_touched_partitions_are_replaced(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
