@@ -95,3 +95,18 @@ def test_keys_are_hot_by_their_pairs(spark):
     spread = joins.spread_join(left, right, ["k"], hot)
     assert sorted(spread.collect()) == sorted(left.join(right, "k").collect())
     assert joins.hot_keys(left, right, ["k"], rows_per_task=1000, pairs_per_task=2700) is None
+
+
+def test_slots_by_pairs_do_not_grow_with_the_pairs(spark):
+    """Ten times the rows are a hundred times the pairs, but ten times the rows that are repeated."""
+    repeated = []
+    for times in (1, 10):
+        left = spark.range(400 * times).selectExpr("id % 2 AS k", "id AS a")
+        right = spark.range(30 * times).selectExpr("id % 2 AS k", "id AS b")
+        hot = joins.hot_keys(left, right, ["k"], share=0.01, pairs_per_task=4)
+        found = hot.collect()
+        assert all(100 >= r._left_slots * r._right_slots >= 50 for r in found) and len(found) == 2
+        repeated.append(sum(200 * times * r._right_slots + 15 * times * r._left_slots for r in found))
+        spread = joins.spread_join(left, right, ["k"], hot)
+        assert sorted(spread.collect()) == sorted(left.join(right, "k").collect())
+    assert repeated[1] == 10 * repeated[0]
