@@ -81,3 +81,36 @@ def test_ranked_fact_gathers_no_whole_group(spark):
     """No window: the values of a group never come together."""
     plan = _plan(registered.queries()["transit_reliability_ranked"](spark, DATA))
     assert "Window" not in plan and "Python" not in plan, plan
+
+
+@pytest.fixture
+def own_tables(spark, tmp_path):
+    """Some trips, roads and readings of a few days."""
+    orders = spark.range(40).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey")
+    items = spark.range(120).selectExpr(
+        "id % 40 AS l_orderkey", "id AS l_partkey", "id % 9 AS l_suppkey",
+        "CAST(1 + id % 3 AS int) AS l_linenumber", "'F' AS l_linestatus", "'N' AS l_returnflag",
+    )
+    events = spark.range(200).selectExpr(
+        "id AS event_id", "id % 11 AS user_id",
+        "to_timestamp_ntz(timestamp_seconds(1704067200 + id * 5000)) AS ts",
+    )
+    for name, rows in (("orders", orders), ("lineitem", items), ("events", events)):
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_report_works_out_the_weather_once(spark, own_tables, monkeypatch):
+    """And writes no texts of trips that no rule and no fact reads."""
+    made, weather = [], registered.t.weather
+    monkeypatch.setattr(registered.t, "weather", lambda *at: made.append(1) or weather(*at))
+    checked = {name: (rows, rules) for rows, name, rules in registered._checked(spark, own_tables)}
+    assert len(made) == 1
+    assert not set(registered._UNCHECKED) & set(checked["transit"][0].columns)
+    plain = registered.t.transit(spark, own_tables)
+    rules = checked["transit"][1]
+    count = registered.expectations.violations
+    found = count(checked["transit"][0], "transit", rules).collect()
+    assert found == count(plain, "transit", rules).collect() and found[0].total_rows > 0
+    days = registered.t.weather_daily(spark, own_tables)
+    assert sorted(checked["weather_daily"][0].collect()) == sorted(days.select(checked["weather_daily"][0].columns).collect())
