@@ -114,3 +114,12 @@ def test_report_works_out_the_weather_once(spark, own_tables, monkeypatch):
     assert found == count(plain, "transit", rules).collect() and found[0].total_rows > 0
     days = registered.t.weather_daily(spark, own_tables)
     assert sorted(checked["weather_daily"][0].collect()) == sorted(days.select(checked["weather_daily"][0].columns).collect())
+
+
+def test_input_of_the_streamed_trips_is_not_dealt_by_day(spark, own_tables, monkeypatch):
+    written, write = [], registered._written
+    monkeypatch.setattr(registered, "_written", lambda *a: written.append(write(*a)) or written[-1])
+    rows = registered.transit_performance_streamed(spark, own_tables)
+    assert not any(name.startswith("fetched_date=") for name in os.listdir(written[0]))
+    plain = registered.t.transit(spark, own_tables).filter("delay_seconds IS NOT NULL")
+    assert rows.count() == plain.count() > 0
