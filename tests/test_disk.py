@@ -91,3 +91,17 @@ def test_rows_are_not_shuffled_to_their_days(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_backlog_is_cut_into_batches_that_a_disk_holds(spark, tmp_path):
+    """A micro-batch shuffles its rows twice and keeps the files until it ends: a few GB at most."""
+    assert files.BYTES_PER_BATCH <= 2 * 2**30 and files.LANDED_BYTES_PER_BATCH <= 4 * 2**30
+    source = str(tmp_path / "source")
+    _rows(spark).repartition(4).write.parquet(source)
+    store = streams.Store(str(tmp_path / "store"))
+    arriving = files.increments(spark, source, bytes_per_batch=1)
+    query = streams.append_dataset(arriving, store, "t", (), ("at",))
+    streams.finish(query)
+    assert len({p["batchId"] for p in query.recentProgress if p["numInputRows"]}) == 4
+    found = files.snapshot(spark, store.table("t")).agg(F.count("id"), F.sum("id")).first()
+    assert tuple(found) == (2000, 2000 * 1999 // 2)
